@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, quality, warc
 
-QUERIES = {"op9_exact_dedup": exact_dedup.op9_exact_dedup}
-SQL = {"op9_exact_dedup": exact_dedup.OP9_SQL}
+QUERIES = {"op2_warc": warc.op2_warc, "op9_exact_dedup": exact_dedup.op9_exact_dedup, "op10_quality": quality.op10_quality}
+SQL = {"op2_warc": warc.OP2_SQL, "op9_exact_dedup": exact_dedup.OP9_SQL, "op10_quality": quality.OP10_SQL}
