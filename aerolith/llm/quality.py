@@ -30,7 +30,7 @@ FENCE = 6
 MIN_GROUP = 100
 MAX_BROADCAST_GROUPS = 100_000
 #: Measure: (numerator, least threshold), in thousandths of the words; word length is held from both sides.
-UPPER = {"symbols": ("n_symbols", 200), "dup_lines": ("n_dup_lines", 30), "repeats": ("n_repeat_words", 150), "length": ("word_chars", 12000)}
+UPPER = {"symbols": ("n_symbols", 200), "dup_lines": ("n_dup_lines", 30), "repeats": ("n_repeat_words", 200), "length": ("word_chars", 12000)}
 LOWER = {"length": 2500}
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
