@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, quality, warc
+from . import bpe, exact_dedup, quality, warc
 
-QUERIES = {"op2_warc": warc.op2_warc, "op9_exact_dedup": exact_dedup.op9_exact_dedup, "op10_quality": quality.op10_quality}
+QUERIES = {
+    "op2_warc": warc.op2_warc,
+    "op6_bpe": bpe.op6_bpe,
+    "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_quality": quality.op10_quality,
+}
 SQL = {"op2_warc": warc.OP2_SQL, "op9_exact_dedup": exact_dedup.OP9_SQL, "op10_quality": quality.OP10_SQL}
