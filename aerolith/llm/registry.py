@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, licenses, quality, secrets, warc
+from . import bpe, exact_dedup, html_extract, licenses, quality, secrets, warc
 
 QUERIES = {
     "op2_warc": warc.op2_warc,
     "op3_licenses": licenses.op3_licenses,
+    "op4_html": html_extract.op4_html,
     "op6_bpe": bpe.op6_bpe,
     "op8_secrets": secrets.op8_secrets,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
