@@ -4,14 +4,33 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_shipped: dict[str, str] = {}
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application."""
+    sc = spark.sparkContext
+    if _shipped.get("to") == sc.applicationId:
+        return
+    root = Path(__file__).resolve().parents[1]
+    at = f"{tempfile.mkdtemp(prefix='aerolith-')}/{root.name}.zip"
+    with zipfile.ZipFile(at, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(at)
+    _shipped["to"] = sc.applicationId
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -32,6 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import fresh, table, text_of
 
@@ -265,7 +266,7 @@ def mask_secrets(docs: DataFrame, text: str = "text", n_chars: str = "n_chars")
             new = pc.if_else(pc.is_null(batch.column(at)), pa.scalar(None, texts.type), new)
             yield pa.RecordBatch.from_arrays([*batch.columns, new], schema=pa.schema([*batch.schema, pa.field(masked, texts.type)]))
 
-    out = docs.mapInArrow(run, docs.schema.add(masked, "string"))
+    out = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(masked, T.StringType())]))
     changed = ~F.col(masked).eqNullSafe(F.col(text))
     cols = [F.col(masked).alias(c) if c == text else F.when(changed, F.length(masked)).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == n_chars else F.col(c) for c in docs.columns]
     return out.select(*cols)
