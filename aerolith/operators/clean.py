@@ -1,0 +1,135 @@
+"""Trajectory cleaning: values that cannot be right become NULL, rows stay. Stages compose with DataFrame.transform.
+
+All windows are partitioned by track and ordered by time, so that one exchange and one sort serve every stage. A zero time step never divides: it yields NULL and flags nothing.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..params import CleanParams
+from .sessionize import seconds, segment_ids
+
+MASKED = ["lat", "lon", "baro_altitude", "geo_altitude", "velocity", "heading", "vert_rate"]
+_ALONE = 1e9
+
+
+def _along():
+    return Window.partitionBy("track_id").orderBy("event_time")
+
+
+def previous_valid(target: Column, value: Column) -> Column:
+    """target at the nearest earlier row where value is not NULL."""
+    return F.last(F.when(value.isNotNull(), target), ignorenulls=True).over(_along().rowsBetween(Window.unboundedPreceding, -1))
+
+
+def next_valid(target: Column, value: Column) -> Column:
+    return F.first(F.when(value.isNotNull(), target), ignorenulls=True).over(_along().rowsBetween(1, Window.unboundedFollowing))
+
+
+def angular_delta(a: Column, b: Column) -> Column:
+    """a - b on the circle, from -180 up to but not including 180."""
+    return F.pmod(a - b + 180, F.lit(360.0)) - 180
+
+
+def drop_duplicates(df: DataFrame, p: CleanParams = CleanParams()) -> DataFrame:
+    """One row per track and time: that of the freshest contact."""
+    if not p.dedup:
+        return df
+    w = Window.partitionBy("track_id", "event_time").orderBy(F.col("last_contact").desc_nulls_last())
+    return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+
+
+def mask_ranges(df: DataFrame, p: CleanParams = CleanParams()) -> DataFrame:
+    if not p.ranges:
+        return df
+    return df.withColumns({"lat": F.when(F.col("lat").between(-90, 90), F.col("lat")), "lon": F.when(F.col("lon").between(-180, 180), F.col("lon"))})
+
+
+def mask_stale(df: DataFrame, p: CleanParams = CleanParams()) -> DataFrame:
+    """Masks position, altitude and motion that repeat those of the row before. A first value is never stale."""
+    if not p.stale:
+        return df
+
+    def moved(*columns: str) -> Column:
+        out = F.lit(False)
+        for c in columns:
+            before = F.lag(c).over(_along())
+            out |= F.col(c).isNotNull() & F.coalesce(F.col(c) != before, F.lit(True))
+        return out
+
+    keep = {"lat": ("lat", "lon"), "lon": ("lat", "lon"), "baro_altitude": ("lat", "lon", "baro_altitude"), "vert_rate": ("vert_rate", "heading", "velocity"), "heading": ("vert_rate", "heading", "velocity"), "velocity": ("vert_rate", "heading", "velocity")}
+    return df.withColumns({c: F.when(moved(*of), F.col(c)) for c, of in keep.items()})
+
+
+def mask_spikes(df: DataFrame, p: CleanParams = CleanParams()) -> DataFrame:
+    """Masks values whose first or second differences over valid neighbours are too steep, by two votes of one kind.
+
+    Each difference votes for the rows it touches: a first difference for its own row and the one before, a second difference for its own and the two before. Columns
+    are judged one by one, but computed side by side: four levels of windows for all columns, not for each.
+    """
+    if not p.spikes:
+        return df
+    cols = [c for c in p.limits if c in df.columns]
+    rows = df.withColumn("_t", seconds("event_time").cast("double"))
+    rows = rows.withColumns({f"_v_{c}": previous_valid(F.col(c), F.col(c)) for c in cols} | {f"_s_{c}": previous_valid(F.col("_t"), F.col(c)) for c in cols})
+    delta = {c: (angular_delta(F.col(c), F.col(f"_v_{c}")) if c == "heading" else F.col(c) - F.col(f"_v_{c}")) * p.limits[c][2] for c in cols}
+    rows = rows.withColumns({f"_d_{c}": delta[c] for c in cols} | {f"_h_{c}": F.when(F.col(c).isNotNull(), F.col("_t") - F.col(f"_s_{c}")) for c in cols})
+    rows = rows.withColumns({f"_pd_{c}": previous_valid(F.col(f"_d_{c}"), F.col(c)) for c in cols} | {f"_ph_{c}": previous_valid(F.col(f"_h_{c}"), F.col(c)) for c in cols})
+
+    def flag(x: Column, limit: float) -> Column:
+        return F.coalesce((x >= limit).cast("int"), F.lit(0))
+
+    first = {c: flag(F.try_divide(F.abs(f"_d_{c}"), F.col(f"_h_{c}")), p.limits[c][0]) for c in cols}
+    second = {c: flag(F.try_divide(2 * F.abs(F.col(f"_d_{c}") - F.col(f"_pd_{c}")), F.col(f"_h_{c}") + F.col(f"_ph_{c}")), p.limits[c][1]) for c in cols}
+    rows = rows.withColumns({f"_f_{c}": first[c] for c in cols} | {f"_g_{c}": second[c] for c in cols})
+    rows = rows.withColumns({f"_nf_{c}": next_valid(F.col(f"_f_{c}"), F.col(c)) for c in cols} | {f"_ng_{c}": next_valid(F.col(f"_g_{c}"), F.col(c)) for c in cols})
+    rows = rows.withColumns({f"_nng_{c}": next_valid(F.col(f"_ng_{c}"), F.col(c)) for c in cols})
+    z = lambda name: F.coalesce(F.col(name), F.lit(0))
+    spike = {c: (z(f"_f_{c}") + z(f"_nf_{c}") >= 2) | (z(f"_g_{c}") + z(f"_ng_{c}") + z(f"_nng_{c}") >= 2) for c in cols}
+    return rows.withColumns({c: F.when(~spike[c], F.col(c)) for c in cols}).select(*df.columns)
+
+
+def mask_isolated(df: DataFrame, p: CleanParams = CleanParams()) -> DataFrame:
+    """Masks values farther than the limit from both their valid neighbours in time."""
+    if not p.isolated:
+        return df
+    rows = df.withColumn("_t", seconds("event_time").cast("double"))
+    near = {}
+    for c in [c for c in MASKED if c in df.columns]:
+        back = F.coalesce(F.col("_t") - previous_valid(F.col("_t"), F.col(c)), F.lit(_ALONE))
+        ahead = F.coalesce(next_valid(F.col("_t"), F.col(c)) - F.col("_t"), F.lit(_ALONE))
+        near[c] = F.when(F.least(back, ahead) <= p.isolated_seconds, F.col(c))
+    return rows.withColumns(near).drop("_t")
+
+
+def add_segments(df: DataFrame, p: CleanParams = CleanParams()) -> DataFrame:
+    return segment_ids(df, p.segment_gap_seconds) if p.segments else df
+
+
+def pandas_stages(df: DataFrame, p: CleanParams = CleanParams()) -> DataFrame:
+    """A place for stages that columns cannot express; there are none yet."""
+    if p.pandas_stages:
+        raise NotImplementedError("no pandas stage exists yet; leave pandas_stages off")
+    return df
+
+
+def clean_tracks(df: DataFrame, p: CleanParams = CleanParams()) -> DataFrame:
+    """All stages in order; df unchanged if cleaning is off."""
+    if not p.enabled:
+        return df
+    for stage in (drop_duplicates, mask_ranges, mask_stale, mask_spikes, mask_isolated, add_segments):
+        df = df.transform(stage, p)
+    return df
+
+
+def null_rates(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """One row: the share of NULLs of each column that there is; 0 over no rows."""
+    cols = [c for c in columns or MASKED if c in df.columns]
+    n = F.count(F.lit(1))
+    return df.agg(*[F.coalesce(F.try_divide(F.sum(F.col(c).isNull().cast("double")), n.cast("double")), F.lit(0.0)).alias(c) for c in cols])
+
+
+def null_rate_report(df: DataFrame, columns: list[str] | None = None) -> dict[str, float]:
+    return null_rates(df, columns).first().asDict()
