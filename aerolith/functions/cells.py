@@ -106,21 +106,13 @@ def children(of: Column, res: int) -> Column:
     return F.filter(_let(middle, lambda m: k_ring(m, 3, res + 1)), lambda c: parent(c, res + 1) == of)
 
 
-def compact(cells: DataFrame, column: str, res: int) -> DataFrame:
-    """Replaces every full set of children by their parent, one resolution up."""
-    own = cells.select(column).distinct()
-    full = (
-        own.select(parent(F.col(column), res).alias("up"))
-        .distinct()
-        .select("up", F.explode(children(F.col("up"), res - 1)).alias("down"))
-        .join(own.select(F.col(column).alias("down"), F.lit(1).alias("has")), "down", "left")
-        .groupBy("up")
-        .agg(F.min(F.coalesce("has", F.lit(0))).alias("all"))
-        .filter("all = 1")
-        .select("up")
-    )
-    kept = own.withColumn("up", parent(F.col(column), res)).join(full, "up", "left_anti").select(column)
-    return kept.unionByName(full.select(F.col("up").alias(column)))
+def compact(cells: DataFrame, column: str, res: int, by: list[str] | None = None) -> DataFrame:
+    """(..by, column): every full set of children is replaced by its parent, one resolution up, apart for each value of by."""
+    keys = by or []
+    own = cells.select(*keys, column).distinct().withColumn("up", parent(F.col(column), res))
+    n = own.groupBy(*keys, "up").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") == F.size(children(F.col("up"), res - 1)))
+    kept = own.join(n.drop("n"), [*keys, "up"], "left_anti").select(*keys, column)
+    return kept.unionByName(n.select(*keys, F.col("up").alias(column)))
 
 
 def uncompact(cells: DataFrame, column: str, res: int) -> DataFrame:
