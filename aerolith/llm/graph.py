@@ -9,7 +9,8 @@ from .common import cut
 
 
 def _least(df: DataFrame, by: str, of: str) -> DataFrame:
-    return df.groupBy(by).agg(F.min(of).alias("m"))
+    """The least neighbour of each node. Dealt by another hash than the key, so that the join that follows deals both sides itself: only then can adaptive execution split a node with many neighbours."""
+    return df.groupBy(by).agg(F.min(of).alias("m")).repartition(F.xxhash64(by))
 
 
 def components(edges: DataFrame) -> DataFrame:
