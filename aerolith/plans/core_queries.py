@@ -70,13 +70,13 @@ def segment_distance_events(spark, sf):
 
 @query(
     "altitude_smooth",
-    f"""%e AS (SELECT *, {epoch_sql("event_time")} AS t FROM sm WHERE NOT (k % 19 = 3 AND last_contact > {epoch_sql("event_time")})),
+    f"""%e AS (SELECT *, {epoch_sql("event_time")} AS t FROM (SELECT *, row_number() OVER (PARTITION BY track_id, event_time ORDER BY last_contact DESC NULLS LAST) AS rn FROM sm) WHERE rn = 1),
     c AS (SELECT track_id, k, baro_altitude, abs((baro_altitude - lag(baro_altitude) OVER w) / nullif(t - lag(t) OVER w, 0)) AS roc, avg(baro_altitude) OVER (PARTITION BY track_id ORDER BY t RANGE BETWEEN 300 PRECEDING AND 300 FOLLOWING) AS mean FROM e WINDOW w AS (PARTITION BY track_id ORDER BY event_time))
     SELECT track_id, k, round(CASE WHEN roc > 25.4 THEN mean ELSE baro_altitude END, 4) AS baro_altitude_c FROM c""",
     "sm",
 )
 def altitude_smooth(spark, sf):
-    rows = views.sm(spark, sf).filter("NOT (k % 19 = 3 AND last_contact > unix_timestamp(event_time))")
+    rows = clean.drop_duplicates(views.sm(spark, sf))
     return kinematics.smooth_altitude(rows, "baro_altitude").select("track_id", "k", r("baro_altitude_c", 4))
 
 

@@ -111,8 +111,8 @@ APT = """apt AS (SELECT 'A' || n_nationkey AS apt_ident, 48 + (n_nationkey % 5)
 
 def db(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = F.expr
-    return table(spark, sf_dir, "customer").filter("c_custkey % 10 <> 7").select(
-        e("lower(lpad(hex(c_custkey), 6, '0'))").alias("icao24"),
+    return table(spark, sf_dir, "customer").select(
+        e("concat(CASE WHEN c_custkey % 10 = 7 THEN 'x' ELSE '' END, lower(lpad(hex(c_custkey), 6, '0')))").alias("icao24"),
         e("concat('R-', c_custkey)").alias("registration"),
         e("concat('M', c_custkey % 12)").alias("model"),
         e("c_mktsegment").alias("typecode"),
@@ -121,14 +121,14 @@ def db(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-DB = """db AS (SELECT lower(lpad(to_hex(c_custkey), 6, '0')) AS icao24, 'R-' || c_custkey AS registration, 'M' || (c_custkey % 12) AS model, c_mktsegment AS typecode,
- CASE c_custkey % 5 WHEN 0 THEN 'L2J' WHEN 1 THEN 'H1T' WHEN 2 THEN NULL WHEN 3 THEN 'A1P' ELSE 'G0E' END AS icao_aircraft_class, 'OP' || c_nationkey AS icao_operator FROM customer WHERE c_custkey % 10 <> 7)"""
+DB = """db AS (SELECT CASE WHEN c_custkey % 10 = 7 THEN 'x' ELSE '' END || lower(lpad(to_hex(c_custkey), 6, '0')) AS icao24, 'R-' || c_custkey AS registration, 'M' || (c_custkey % 12) AS model, c_mktsegment AS typecode,
+ CASE c_custkey % 5 WHEN 0 THEN 'L2J' WHEN 1 THEN 'H1T' WHEN 2 THEN NULL WHEN 3 THEN 'A1P' ELSE 'G0E' END AS icao_aircraft_class, 'OP' || c_nationkey AS icao_operator FROM customer)"""
 
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What another source knows of each flight: mostly the aerodromes it was drawn between."""
     e = F.expr
-    return table(spark, sf_dir, "orders").filter("o_orderkey % 17 <> 0").select(
+    return table(spark, sf_dir, "orders").select(
         e("lower(lpad(hex(o_custkey), 6, '0'))").alias("icao24"),
         e("concat('F', o_orderkey)").alias("callsign"),
         F.to_date(F.col("o_orderdate").cast("timestamp")).alias("day"),
@@ -139,7 +139,7 @@ def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TRUTH = """truth AS (SELECT lower(lpad(to_hex(o_custkey), 6, '0')) AS icao24, 'F' || o_orderkey AS callsign, CAST(o_orderdate AS DATE) AS day, CAST(floor(epoch(o_orderdate)) AS BIGINT) + o_orderkey % 7 * 60 AS aobt_s,
- CASE WHEN o_orderkey % 19 = 0 THEN 'ZZZZ' ELSE 'A' || (o_custkey % 25) END AS adep, CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE 'A' || (o_orderkey * 7 % 25) END AS ades FROM orders WHERE o_orderkey % 17 <> 0)"""
+ CASE WHEN o_orderkey % 19 = 0 THEN 'ZZZZ' ELSE 'A' || (o_custkey % 25) END AS adep, CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE 'A' || (o_orderkey * 7 % 25) END AS ades FROM orders)"""
 
 VIEWS = {"sv": SV, "sm": SM, "apt": APT, "db": DB, "truth": TRUTH}
 
