@@ -115,7 +115,8 @@ def score(docs: DataFrame, chosen: DataFrame, doc_id: str = "doc_id", text: str
     """(doc_id, n_tokens, loss_target, loss_background, score) of every row of docs; chosen holds the doc_ids of the target, each once."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    marks = chosen.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(True).alias("chosen"))
+    # always dealt by doc_id: the list of the target grows with the corpus and is never broadcast
+    marks = chosen.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(True).alias("chosen")).hint("merge")
     counted = count_models(rows.join(marks, "doc_id", "left").select("text", F.coalesce("chosen", F.lit(False)).alias("chosen")))
     model = spark.sparkContext.broadcast((counted.astype(np.uint32) if counted.max(initial=0) < 1 << 32 else counted, counted[:, :_WORDS].sum(axis=1).astype(float)))
 
