@@ -14,11 +14,12 @@ def _c(x) -> Column:
 
 
 def central_angle(lat1, lon1, lat2, lon2) -> Column:
-    """Angle between two points, in radians, by the haversine formula; its root is held to 1 against rounding."""
+    """Angle between two points, in radians, by the haversine formula; its root is held to 1 against rounding, and stays NULL where a coordinate is."""
     a, b = F.radians(_c(lat1)), F.radians(_c(lat2))
     half_lat = F.sin((b - a) / 2)
     half_lon = F.sin((F.radians(_c(lon2)) - F.radians(_c(lon1))) / 2)
-    return 2 * F.asin(F.least(F.sqrt(half_lat * half_lat + F.cos(a) * F.cos(b) * half_lon * half_lon), F.lit(1.0)))
+    root = F.sqrt(half_lat * half_lat + F.cos(a) * F.cos(b) * half_lon * half_lon)
+    return 2 * F.asin(F.when(root > 1, 1.0).otherwise(root))
 
 
 def distance(lat1, lon1, lat2, lon2, unit: str = "nm") -> Column:

@@ -146,7 +146,8 @@ VIEWS = {"sv": SV, "sm": SM, "apt": APT, "db": DB, "truth": TRUTH}
 
 def angle_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     """The central angle in SQL."""
-    return f"(2 * asin(least(sqrt(pow(sin((radians({lat2}) - radians({lat1})) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin((radians({lon2}) - radians({lon1})) / 2), 2)), 1.0)))"
+    root = f"sqrt(pow(sin((radians({lat2}) - radians({lat1})) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin((radians({lon2}) - radians({lon1})) / 2), 2))"
+    return f"(2 * asin(CASE WHEN {root} > 1 THEN 1 ELSE {root} END))"
 
 
 def epoch_sql(t: str) -> str:
