@@ -161,7 +161,7 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
     rates = _rates(names)
     fits = F.lit(True)
     for k in UPPER:
-        fits &= F.coalesce(rates[k] <= F.col(cols[f"max_{k}"]), F.lit(True))
+        fits &= F.coalesce(bucket(rates[k]) <= F.col(cols[f"max_{k}"]), F.lit(True))  # by bucket, as thresholds are buckets
     for k in LOWER:
         fits &= F.coalesce(rates[k] >= F.col(cols[f"min_{k}"]), F.lit(True))
     out = rows.withColumn(names["base_failed"], base_failed(names))
@@ -195,7 +195,8 @@ def _op10_sql() -> str:
 
     pick = ", ".join(f"CASE WHEN o.n >= {MIN_GROUP} THEN o.{c} WHEN l.n >= {MIN_GROUP} THEN l.{c} ELSE a.{c} END AS {c}" for c in ("lo", "mid", "hi"))
     limits = ", ".join([f"max(CASE WHEN kind = '{k}' THEN greatest(mid + {FENCE} * (hi - mid), {floor}) END) AS max_{k}" for k, (_, floor) in UPPER.items()] + [f"max(CASE WHEN kind = '{k}' THEN least(mid - {FENCE} * (mid - lo), {most}) END) AS min_{k}" for k, most in LOWER.items()])
-    fits = " AND ".join([f"coalesce({rate[k]} <= max_{k}, true)" for k in UPPER] + [f"coalesce({rate[k]} >= min_{k}, true)" for k in LOWER])
+    low = lambda v: f"(({v} >> greatest(length(bin({v})) - 8, 0)) << greatest(length(bin({v})) - 8, 0))"
+    fits = " AND ".join([f"coalesce({low(rate[k])} <= max_{k}, true)" for k in UPPER] + [f"coalesce({rate[k]} >= min_{k}, true)" for k in LOWER])
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
 w AS (SELECT rid, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
