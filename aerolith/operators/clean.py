@@ -1,6 +1,7 @@
 """Trajectory cleaning: values that cannot be right become NULL, rows stay. Stages compose with DataFrame.transform.
 
-All windows are partitioned by track and ordered by time, so that one exchange and one sort serve every stage. A zero time step never divides: it yields NULL and flags nothing.
+All windows are partitioned by track, so that one exchange serves every stage, and ordered by time. What lies ahead is read by the reverse order as what lies behind: a frame that
+only grows costs one step per row, while one that shrinks towards the end of a track would be summed up anew for each row. A zero time step never divides: it yields NULL and flags nothing.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ def previous_valid(target: Column, value: Column) -> Column:
 
 
 def next_valid(target: Column, value: Column) -> Column:
-    return F.first(F.when(value.isNotNull(), target), ignorenulls=True).over(_along().rowsBetween(1, Window.unboundedFollowing))
+    """target at the nearest later row where value is not NULL."""
+    back = Window.partitionBy("track_id").orderBy(F.col("event_time").desc())
+    return F.last(F.when(value.isNotNull(), target), ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))
 
 
 def angular_delta(a: Column, b: Column) -> Column:
@@ -34,11 +37,12 @@ def angular_delta(a: Column, b: Column) -> Column:
 
 
 def drop_duplicates(df: DataFrame, p: CleanParams = CleanParams()) -> DataFrame:
-    """One row per track and time: that of the freshest contact."""
+    """One row per track and time: that of the freshest contact, the last in order. The window is the track's own, so that the stages that follow need neither another exchange nor another sort."""
     if not p.dedup:
         return df
-    w = Window.partitionBy("track_id", "event_time").orderBy(F.col("last_contact").desc_nulls_last())
-    return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    w = Window.partitionBy("track_id").orderBy("event_time", F.col("last_contact").asc_nulls_first())
+    rows = df.withColumns({"_next": F.lead("event_time").over(w), "_more": F.lead(F.lit(True)).over(w)})
+    return rows.filter(F.col("_more").isNull() | ~F.col("_next").eqNullSafe(F.col("event_time"))).drop("_next", "_more")
 
 
 def mask_ranges(df: DataFrame, p: CleanParams = CleanParams()) -> DataFrame:

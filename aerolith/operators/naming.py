@@ -16,16 +16,17 @@ FLIGHT_KEYS = ["icao24", "flight_id", "track_id"]
 
 
 def classify_endpoints(candidates: DataFrame, mode: str = "endpoint", p: EndpointParams = EndpointParams()) -> DataFrame:
-    """(track_id, role, ..the best candidate's columns, named, source): one row per end.
+    """(track_id, role, ..the best candidate's columns, apts, named, source): one row per end, apts being the names of all its candidates, sorted. One aggregate, without a window over all candidates.
 
     nearest: the nearest aerodrome by effective distance, whatever its distance. endpoint: it must be near and the end low over it, or on the
     ground; else an end at the border is out of area, else it stays undetermined. An aerodrome beats the border.
     """
     if mode not in ("nearest", "endpoint"):
         raise ValueError(f"unknown mode {mode!r}; nearest or endpoint")
-    eff = effective("dist_nm", "apt_scheduled", p.scheduled_penalty_nm)
-    w = Window.partitionBy("track_id", "role").orderBy(F.col("_eff").asc_nulls_last(), F.col("apt_ident").asc_nulls_last())
-    best = candidates.withColumn("_eff", eff).withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n", "_eff")
+    eff = F.coalesce(effective("dist_nm", "apt_scheduled", p.scheduled_penalty_nm), F.lit(1e18))
+    others = [c for c in candidates.columns if c not in ("track_id", "role", "apt_ident")]
+    best = candidates.groupBy("track_id", "role").agg(F.min(F.struct(eff.alias("_eff"), "apt_ident", *others)).alias("b"), F.array_sort(F.collect_set("apt_ident")).alias("apts"))
+    best = best.select("track_id", "role", "b.apt_ident", *[f"b.{c}" for c in others], "apts")
     if mode == "nearest":
         named = F.col("apt_ident")
         source = F.when(named.isNotNull(), "aerodrome").otherwise("undetermined")
@@ -38,11 +39,9 @@ def classify_endpoints(candidates: DataFrame, mode: str = "endpoint", p: Endpoin
     return best.withColumns({"named": named, "source": source})
 
 
-def flights_from_endpoints(classified: DataFrame, candidates: DataFrame, version: str = "v3.0.0") -> DataFrame:
+def flights_from_endpoints(classified: DataFrame, version: str = "v3.0.0") -> DataFrame:
     """One row per track: both ends' names and sources, and the other candidates of a named end, sorted, as one string. Ends meet in one conditional aggregate, not in a join of two halves."""
-    others = candidates.select("track_id", "role", "apt_ident").join(classified.select("track_id", "role", F.col("named")), ["track_id", "role"]).filter("apt_ident <> named")
-    others = others.groupBy("track_id", "role").agg(F.array_join(F.array_sort(F.collect_set("apt_ident")), ", ").alias("others"))
-    rows = classified.join(others, ["track_id", "role"], "left")
+    rows = classified.withColumn("others", F.when(F.col("named").isNotNull(), F.array_join(F.array_remove("apts", F.col("named")), ", ")))
     side = lambda role, c: F.max(F.when(F.col("role") == role, F.col(c)))
     return rows.groupBy("track_id").agg(
         side("adep", "icao24").alias("icao24"),

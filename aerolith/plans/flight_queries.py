@@ -75,7 +75,7 @@ fl AS (SELECT track_id, {_side("adep", "icao24")} AS icao24, {_side("adep", "fli
 
 def _flights(spark, sf):
     c = spatial.endpoint_candidates(sv(spark, sf), views.apt(spark, sf), 60)
-    return naming.flights_from_endpoints(naming.classify_endpoints(c), c)
+    return naming.flights_from_endpoints(naming.classify_endpoints(c))
 
 
 def ntz(df):
@@ -219,12 +219,14 @@ m8g AS (SELECT track_id, role, apt_ident, {_DIST} AS dist_nm FROM m8f JOIN apt O
 
 def methods(spark, sf, *names: str):
     s, a = sv(spark, sf), views.apt(spark, sf)
+    of_pairs = {"m0", "m2", "m3", "m5"} & set(names)
+    pairs = near(spark, sf).persist() if len(of_pairs) > 1 else near(spark, sf)  # read by several methods of one plan
     make = {
-        "m0": lambda: research.m0_trend(near(spark, sf)),
+        "m0": lambda: research.m0_trend(pairs),
         "m1": lambda: research.m1_nearest(research.candidates_for(s, a)),
-        "m2": lambda: research.m2_on_ground(near(spark, sf)),
-        "m3": lambda: research.m3_vertical_rate(near(spark, sf)),
-        "m5": lambda: research.m5_lowest(near(spark, sf)),
+        "m2": lambda: research.m2_on_ground(pairs),
+        "m3": lambda: research.m3_vertical_rate(pairs),
+        "m5": lambda: research.m5_lowest(pairs),
         "m7": lambda: research.m7_abstaining(research.candidates_for(s, a)),
         "m8": lambda: research.m8_extrapolated(s, a),
     }

@@ -33,7 +33,7 @@ def test_endpoint_rule(spark):
 def test_scheduled_penalty(spark):
     two = cand(spark, ("A", 8.0, 0.0, True, True, False, "no"), ("B", 15.0, 0.0, True, True, False, "yes"))
     assert named(two)[0] == "B" and named(two, scheduled_penalty_nm=0)[0] == "A"
-    flights = naming.flights_from_endpoints(naming.classify_endpoints(two), two).first()
+    flights = naming.flights_from_endpoints(naming.classify_endpoints(two)).first()
     assert (flights.adep, flights.adep_p, flights.ades, flights.ades_source) == ("B", "A", None, "undetermined")
 
 
