@@ -138,6 +138,12 @@ def box_cells(south: Column, west: Column, north: Column, east: Column, res: int
     )
 
 
+def geojson_ring(text: Column) -> Column:
+    """The outer ring, array<struct(lat, lon)>, of a GeoJSON polygon in text form; NULL if it is none."""
+    ring = F.get(F.from_json(text, "type string, coordinates array<array<array<double>>>")["coordinates"], F.lit(0))
+    return F.transform(ring, lambda p: F.struct(F.get(p, F.lit(1)).alias("lat"), F.get(p, F.lit(0)).alias("lon")))
+
+
 def polyfill(df: DataFrame, ring: str, res: int, out: str = "cell") -> DataFrame:
     """A row for each cell whose centre lies in the row's ring (array of struct(lat, lon), closed)."""
     lats, lons = F.transform(ring, lambda p: p["lat"]), F.transform(ring, lambda p: p["lon"])

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 LEAST_ROWS = 25_000_000
 #: Known outages of the feed.
 OUTAGES = [
-    ("2023-01-02 23:00:00", "2023-01-03 10:00:00", "Database maintenance"),
-    ("2023-01-18 13:00:00", "2023-01-23 06:00:00", "Network failure"),
-    ("2023-06-21 15:00:00", "2023-06-22 12:00:00", "Storage failure"),
-    ("2023-11-15 06:00:00", "2023-11-16 08:00:00", "Data loss"),
+    ("2023-01-02 23:00:00", "2023-01-03 10:00:00"),
+    ("2023-01-18 11:00:00", "2023-01-23 07:00:00"),
+    ("2023-06-21 13:00:00", "2023-06-21 22:00:00"),
+    ("2023-11-15 06:00:00", "2023-11-16 08:00:00"),
+    ("2023-11-20 01:00:00", "2023-11-20 03:00:00"),
+    ("2023-12-02 08:00:00", "2023-12-05 03:00:00"),
+    ("2024-05-20 10:00:00", "2024-05-21 05:00:00"),
 ]
 
 
@@ -37,22 +40,24 @@ def fill_days(counts: DataFrame) -> DataFrame:
     return days.join(counts.filter("day IS NOT NULL"), "day", "left").select("day", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def outages(spark: SparkSession, known: list[tuple[str, str, str]] = OUTAGES) -> DataFrame:
+def outages(spark: SparkSession, known: list[tuple[str, str]] = OUTAGES) -> DataFrame:
     rows = [(k, *o) for k, o in enumerate(known)]
-    return spark.createDataFrame(rows, "place int, start_s string, end_s string, reason string").select("place", F.to_timestamp("start_s").alias("start"), F.to_timestamp("end_s").alias("end"), "reason")
+    text = spark.createDataFrame(rows, "place int, start_s string, end_s string")
+    return text.select("place", F.to_timestamp("start_s").alias("start"), F.to_timestamp("end_s").alias("end"), F.concat("start_s", F.lit(" to "), "end_s").alias("period"))
 
 
 def with_outage(days: DataFrame, known: DataFrame) -> DataFrame:
-    """days with the first outage, in the order of the list, that overlaps the day up to its last second. Outages are exploded into days, so that the join is an equi-join."""
-    per_day = known.select("place", "reason", F.explode(F.expr("sequence(to_date(start), to_date(end))")).alias("day"), "start")
-    per_day = per_day.groupBy("day").agg(F.min_by("reason", "place").alias("outage"))
+    """days with the period of the first outage, in the order of the list, that touches the day. Outages are exploded into days, so that the join is an equi-join."""
+    per_day = known.select("place", "period", F.explode(F.expr("sequence(to_date(start), to_date(end))")).alias("day"))
+    per_day = per_day.groupBy("day").agg(F.min_by("period", "place").alias("outage"))
     return days.join(per_day, "day", "left")
 
 
 def explain(days: DataFrame, least: int = LEAST_ROWS) -> DataFrame:
-    """(day, n, status, suspicious): OK, or what is wrong."""
-    notes = F.concat_ws("; ", F.when(F.col("n") == 0, "No data").when(F.col("n") < least, F.concat(F.lit("Low count ("), F.col("n").cast("string"), F.lit(")"))), F.when(F.col("outage").isNotNull(), F.concat(F.lit("Known outage: "), F.col("outage"))))
-    return days.select("day", "n", F.when(notes == "", "OK").otherwise(notes).alias("status"), (F.col("n") < least).alias("suspicious"))
+    """(day, n, explanation, suspicious): a day with enough rows is OK, another says what is wrong and which outage is known."""
+    count = F.when(F.col("n") == 0, "No data").otherwise(F.concat(F.lit("Low count ("), F.format_number("n", 0), F.lit(")")))
+    why = F.concat_ws("; ", count, F.concat(F.lit("Known outage: "), F.col("outage")))
+    return days.select("day", "n", F.when(F.col("n") >= least, "OK").otherwise(why).alias("explanation"), (F.col("n") < least).alias("suspicious"))
 
 
 def summary(days: DataFrame) -> DataFrame:

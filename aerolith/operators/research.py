@@ -11,6 +11,13 @@ from ..units import NM_PER_M
 from .naming import classify_endpoints, side_by_side
 from .spatial import endpoint_candidates, radius_join
 
+#: The sets of airport types that methods are compared over.
+AIRPORT_SETS = {
+    "large": ["large_airport"],
+    "large_medium": ["large_airport", "medium_airport"],
+    "all_airports": ["large_airport", "medium_airport", "small_airport"],
+    "with_heliports": ["large_airport", "medium_airport", "small_airport", "heliport"],
+}
 LADDER = ("m0", "m3", "m2", "m1", "m5")
 
 

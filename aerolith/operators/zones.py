@@ -54,8 +54,16 @@ def ring_zones(airports: DataFrame, res: int = 7, radii: tuple[float, ...] = RAD
 
 # --- layouts -------------------------------------------------------------------------------------------------------
 
-#: Width in metres of features that do not state one.
-DEFAULT_WIDTH = {"runway": 45.0, "taxiway": 15.0, "parking_position": 20.0, "apron": 50.0, "hangar": 30.0, "aerodrome": 60.0, "threshold": 45.0}
+#: The features wanted, with the width in metres of those that do not state one.
+DEFAULT_WIDTH = {
+    "taxiway": 30,
+    "runway": 45,
+    "apron": 20,
+    "hangar": 20,
+    "threshold": 45,
+    "parking_position": 25,
+    "deicing_pad": 60,
+}
 
 
 def to_metres(value: Column) -> Column:
@@ -78,12 +86,12 @@ def buffered(lat1: Column, lon1: Column, lat2: Column, lon2: Column, width_m: Co
 
 def layouts(features: DataFrame, res: int = 12) -> DataFrame:
     """Cells of aerodrome features (apt_icao, osm_id, aeroway, ref, surface, width, length, type, ring): those whose centre lies inside the ring. Only outer rings count."""
-    width = F.coalesce(to_metres(F.col("width")), F.coalesce(*[F.when(F.col("aeroway") == k, F.lit(v)) for k, v in DEFAULT_WIDTH.items()], F.lit(10.0)))
+    width = F.coalesce(to_metres(F.col("width")), *[F.when(F.col("aeroway") == k, F.lit(float(v))) for k, v in DEFAULT_WIDTH.items()])
     rows = cells.polyfill(features.withColumn("_w", width), "ring", res, "_cell").withColumn("_at", cells.centre(F.col("_cell"), res))
     return rows.select(
-        F.col("apt_icao").alias("hexaero_apt_icao"), F.col("_cell").alias("hexaero_h3_id"), F.col("_at.lat").alias("hexaero_latitude"), F.col("_at.lon").alias("hexaero_longitude"), F.lit(res).alias("hexaero_res"),
-        F.col("aeroway").alias("hexaero_aeroway"), to_metres(F.col("length")).alias("hexaero_length"), F.col("ref").alias("hexaero_ref"), F.col("surface").alias("hexaero_surface"), F.col("_w").alias("hexaero_width"),
-        F.col("osm_id").cast("long").alias("hexaero_osm_id"), F.col("type").alias("hexaero_type"),
+        F.col("apt_icao").alias("layout_apt_icao"), F.col("_cell").alias("layout_h3_id"), F.col("_at.lat").alias("layout_latitude"), F.col("_at.lon").alias("layout_longitude"), F.lit(res).alias("layout_res"),
+        F.col("aeroway").alias("layout_aeroway"), to_metres(F.col("length")).alias("layout_length"), F.col("ref").alias("layout_ref"), F.col("surface").alias("layout_surface"), F.col("_w").alias("layout_width"),
+        F.col("osm_id").cast("long").alias("layout_osm_id"), F.col("type").alias("layout_type"),
     )
 
 
@@ -100,7 +108,11 @@ def wkt_rings(wkt: Column) -> Column:
 
 
 #: Validity of the publication cycles.
-CYCLES = {"406": ("2015-11-12", "2015-12-09"), "481": ("2021-07-15", "2021-08-11"), "524": ("2024-11-28", "2024-12-25")}
+CYCLES = {
+    406: ("2015-11-12", "2015-12-10"),
+    481: ("2021-08-12", "2021-09-09"),
+    524: ("2024-11-28", "2024-12-26"),
+}
 
 
 def airspaces(shapes: DataFrame, airspace_type: str, res: int = 7, compacted: bool = False) -> DataFrame:
@@ -108,7 +120,7 @@ def airspaces(shapes: DataFrame, airspace_type: str, res: int = 7, compacted: bo
     rows = shapes.withColumn("_ring", F.explode(wkt_rings(F.col("wkt"))))
     filled = cells.polyfill(rows, "_ring", res, "_cell")
     country = airspace_type == "COUNTRY"
-    cycle = lambda k: F.coalesce(*[F.when(F.col("airac_cfmu") == c, F.to_timestamp(F.lit(d[k]))) for c, d in CYCLES.items()])
+    cycle = lambda k: F.coalesce(*[F.when(F.col("airac_cfmu").try_cast("int") == c, F.to_timestamp(F.lit(d[k]))) for c, d in CYCLES.items()])
     at = cells.centre(F.col("_cell"), res)
     out = filled.select(
         F.lit(airspace_type).alias("airspace_type"), "name", "code", (F.lit("-1") if country else F.col("airac_cfmu").cast("string")).alias("airac_cfmu"),

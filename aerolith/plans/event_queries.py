@@ -98,8 +98,8 @@ def _layout_sql() -> str:
 lr AS (SELECT *, unnest(range(CAST(floor(s * 60 / {1.5 * s!r}::DOUBLE) AS BIGINT), CAST(ceil(n * 60 / {1.5 * s!r}::DOUBLE) AS BIGINT) + 1)) AS r FROM fe),
 lq AS (SELECT *, unnest(range(CAST(floor(w * {cells.LON_NM!r}::DOUBLE / {wide!r}::DOUBLE - r / 2::DOUBLE) AS BIGINT), CAST(ceil(e * {cells.LON_NM!r}::DOUBLE / {wide!r}::DOUBLE - r / 2::DOUBLE) AS BIGINT) + 1)) AS q FROM lr),
 lc AS (SELECT *, r * {1.5 * s!r}::DOUBLE / 60::DOUBLE AS clat, (q + r / 2::DOUBLE) * {wide!r}::DOUBLE / {cells.LON_NM!r}::DOUBLE AS clon FROM lq),
-lay AS (SELECT apt_icao AS hexaero_apt_icao, '{_LRES}:' || q || ':' || r AS hexaero_h3_id, clat AS hexaero_latitude, clon AS hexaero_longitude, aeroway AS hexaero_aeroway, osm_id AS hexaero_osm_id, ref AS hexaero_ref,
- CASE f2 WHEN 0 THEN 150 * 0.3048::DOUBLE WHEN 1 THEN 20::DOUBLE ELSE 50::DOUBLE END AS hexaero_width, 1.2 * 1609.34::DOUBLE AS hexaero_length FROM (SELECT *, osm_id % 10 AS f2 FROM lc) WHERE clat >= s AND clat < n AND clon >= w AND clon < e)"""
+lay AS (SELECT apt_icao AS layout_apt_icao, '{_LRES}:' || q || ':' || r AS layout_h3_id, clat AS layout_latitude, clon AS layout_longitude, aeroway AS layout_aeroway, osm_id AS layout_osm_id, ref AS layout_ref,
+ CASE f2 WHEN 0 THEN 150 * 0.3048::DOUBLE WHEN 1 THEN 20::DOUBLE ELSE 20::DOUBLE END AS layout_width, 1.2 * 1609.34::DOUBLE AS layout_length FROM (SELECT *, osm_id % 10 AS f2 FROM lc) WHERE clat >= s AND clat < n AND clon >= w AND clon < e)"""
 
 
 VIEWS["lay"] = _layout_sql()
@@ -109,9 +109,9 @@ def layout(spark, sf):
     return zones.layouts(features(spark, sf), _LRES)
 
 
-@query("layouts", "SELECT hexaero_apt_icao, hexaero_h3_id, round(hexaero_latitude, 6) AS hexaero_latitude, round(hexaero_longitude, 6) AS hexaero_longitude, hexaero_aeroway, hexaero_osm_id, hexaero_ref, round(hexaero_width, 6) AS hexaero_width, round(hexaero_length, 6) AS hexaero_length FROM lay", "apt lay")
+@query("layouts", "SELECT layout_apt_icao, layout_h3_id, round(layout_latitude, 6) AS layout_latitude, round(layout_longitude, 6) AS layout_longitude, layout_aeroway, layout_osm_id, layout_ref, round(layout_width, 6) AS layout_width, round(layout_length, 6) AS layout_length FROM lay", "apt lay")
 def layouts(spark, sf):
-    return layout(spark, sf).select("hexaero_apt_icao", "hexaero_h3_id", r("hexaero_latitude"), r("hexaero_longitude"), "hexaero_aeroway", "hexaero_osm_id", "hexaero_ref", r("hexaero_width"), r("hexaero_length"))
+    return layout(spark, sf).select("layout_apt_icao", "layout_h3_id", r("layout_latitude"), r("layout_longitude"), "layout_aeroway", "layout_osm_id", "layout_ref", r("layout_width"), r("layout_length"))
 
 
 def _infra(spark, sf):
@@ -125,12 +125,12 @@ def _infra(spark, sf):
 
 VIEWS["inf"] = f"""apts AS (SELECT DISTINCT 'T' || o_orderkey AS track_id, 'F' || o_orderkey AS flight_id, unnest(['A' || (o_custkey % 25), CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'A' || (o_orderkey * 7 % 25) END, 'A' || (o_orderkey * 7 % 25), 'A1']) AS apt FROM orders),
 {axial_sql("in0", "pg", "lat", "lon", _LRES, "track_id, icao24, event_time, lat, lon, baro_altitude_c, cumulative_distance_nm, cumulative_time_s")},
-in1 AS (SELECT in0.*, flight_id, hexaero_apt_icao, hexaero_osm_id, hexaero_aeroway, hexaero_ref FROM in0 JOIN lay ON '{_LRES}:' || q || ':' || r = hexaero_h3_id JOIN apts ON in0.track_id = apts.track_id AND apts.apt = hexaero_apt_icao WHERE baro_altitude_c * 3.28084 / 100 <= 20),
-in2 AS (SELECT *, CASE WHEN {epoch_sql("event_time")} - {epoch_sql("lag(event_time) OVER (PARTITION BY track_id, hexaero_osm_id ORDER BY event_time)")} > 300 THEN 1 ELSE 0 END AS cut FROM in1),
-in3 AS (SELECT *, sum(cut) OVER (PARTITION BY track_id, hexaero_osm_id ORDER BY event_time ROWS UNBOUNDED PRECEDING) AS trace FROM in2),
-in4 AS (SELECT *, row_number() OVER (PARTITION BY track_id, hexaero_osm_id, trace ORDER BY event_time) AS a, row_number() OVER (PARTITION BY track_id, hexaero_osm_id, trace ORDER BY event_time DESC) AS z, {epoch_sql("max(event_time) OVER (PARTITION BY track_id, hexaero_osm_id, trace)")} - {epoch_sql("min(event_time) OVER (PARTITION BY track_id, hexaero_osm_id, trace)")} AS used FROM in3),
-in5 AS (SELECT *, '{{"osm_id":' || hexaero_osm_id || ',"osm_aeroway":"' || hexaero_aeroway || '","osm_ref":"' || hexaero_ref || '","osm_airport":"' || hexaero_apt_icao || '","opdi_time_in_use_s":' || used || ',"osn_icao24":"' || icao24 || '","osn_flight_id":"' || flight_id || '"}}' AS info, 'entry-' || hexaero_aeroway AS type FROM in4 WHERE used > 0 AND a = 1
- UNION ALL SELECT *, '{{"osm_id":' || hexaero_osm_id || ',"osm_aeroway":"' || hexaero_aeroway || '","osm_ref":"' || hexaero_ref || '","osm_airport":"' || hexaero_apt_icao || '","opdi_time_in_use_s":' || used || ',"osn_icao24":"' || icao24 || '","osn_flight_id":"' || flight_id || '"}}', 'exit-' || hexaero_aeroway FROM in4 WHERE used > 0 AND z = 1),
+in1 AS (SELECT in0.*, flight_id, layout_apt_icao, layout_osm_id, layout_aeroway, layout_ref FROM in0 JOIN lay ON '{_LRES}:' || q || ':' || r = layout_h3_id JOIN apts ON in0.track_id = apts.track_id AND apts.apt = layout_apt_icao WHERE baro_altitude_c * 3.28084 / 100 <= 20),
+in2 AS (SELECT *, CASE WHEN {epoch_sql("event_time")} - {epoch_sql("lag(event_time) OVER (PARTITION BY track_id, layout_osm_id ORDER BY event_time)")} > 300 THEN 1 ELSE 0 END AS cut FROM in1),
+in3 AS (SELECT *, sum(cut) OVER (PARTITION BY track_id, layout_osm_id ORDER BY event_time ROWS UNBOUNDED PRECEDING) AS trace FROM in2),
+in4 AS (SELECT *, row_number() OVER (PARTITION BY track_id, layout_osm_id, trace ORDER BY event_time) AS a, row_number() OVER (PARTITION BY track_id, layout_osm_id, trace ORDER BY event_time DESC) AS z, {epoch_sql("max(event_time) OVER (PARTITION BY track_id, layout_osm_id, trace)")} - {epoch_sql("min(event_time) OVER (PARTITION BY track_id, layout_osm_id, trace)")} AS used FROM in3),
+in5 AS (SELECT *, '{{"osm_id":' || layout_osm_id || ',"osm_aeroway":"' || layout_aeroway || '","osm_ref":"' || layout_ref || '","osm_airport":"' || layout_apt_icao || '","time_in_use_s":' || used || ',"osn_icao24":"' || icao24 || '","osn_flight_id":"' || flight_id || '"}}' AS info, 'entry-' || layout_aeroway AS type FROM in4 WHERE used > 0 AND a = 1
+ UNION ALL SELECT *, '{{"osm_id":' || layout_osm_id || ',"osm_aeroway":"' || layout_aeroway || '","osm_ref":"' || layout_ref || '","osm_airport":"' || layout_apt_icao || '","time_in_use_s":' || used || ',"osn_icao24":"' || icao24 || '","osn_flight_id":"' || flight_id || '"}}', 'exit-' || layout_aeroway FROM in4 WHERE used > 0 AND z = 1),
 inf AS (SELECT track_id, type, event_time, lon, lat, baro_altitude_c * 3.28084 AS altitude_ft, cumulative_distance_nm, cumulative_time_s, info FROM (SELECT *, row_number() OVER (PARTITION BY track_id, type, event_time ORDER BY info) AS rn FROM in5) WHERE rn = 1)"""
 
 
@@ -229,8 +229,8 @@ def calendar_fill(spark, sf):
     return monitor.fill_days(monitor.daily_counts(views.table(spark, sf, "orders").filter("o_totalprice > 300000"), "o_orderdate"))
 
 
-_KNOWN = [("2024-01-05 06:00:00", "2024-01-06 08:00:00", "feed down"), ("2024-01-06 00:00:00", "2024-01-06 01:00:00", "late"), ("2024-01-20 23:59:59", "2024-01-21 00:00:00", "restart")]
-VIEWS["out"] = "out AS (SELECT * FROM (VALUES " + ", ".join(f"({k}, TIMESTAMP '{a}', TIMESTAMP '{b}', '{c}')" for k, (a, b, c) in enumerate(_KNOWN)) + ") v(place, st, en, reason)), od AS (SELECT cal.day, n, arg_min(reason, place) AS outage FROM cal LEFT JOIN out ON st < cal.day::TIMESTAMP + INTERVAL 1 DAY AND en >= cal.day::TIMESTAMP GROUP BY cal.day, n)"
+_KNOWN = [("2024-01-05 06:00:00", "2024-01-06 08:00:00"), ("2024-01-06 00:00:00", "2024-01-06 01:00:00"), ("2024-01-20 23:59:59", "2024-01-21 00:00:00")]
+VIEWS["out"] = "out AS (SELECT * FROM (VALUES " + ", ".join(f"({k}, TIMESTAMP '{a}', TIMESTAMP '{b}', '{a} to {b}')" for k, (a, b) in enumerate(_KNOWN)) + ") v(place, st, en, period)), od AS (SELECT cal.day, n, arg_min(period, place) AS outage FROM cal LEFT JOIN out ON st < cal.day::TIMESTAMP + INTERVAL 1 DAY AND en >= cal.day::TIMESTAMP GROUP BY cal.day, n)"
 
 
 @query("outage_overlap", "SELECT day, n, outage FROM od", "dc cal out")
@@ -238,9 +238,9 @@ def outage_overlap(spark, sf):
     return monitor.with_outage(monitor.fill_days(_daily(spark, sf)), monitor.outages(spark, _KNOWN))
 
 
-@query("anomaly_label", "%nt AS (SELECT day, n, concat_ws('; ', CASE WHEN n = 0 THEN 'No data' WHEN n < 33 THEN 'Low count (' || n || ')' END, 'Known outage: ' || outage) AS note FROM od) SELECT day, n, CASE WHEN note = '' THEN 'OK' ELSE note END AS status, n < 33 AS suspicious FROM nt", "dc cal out")
+@query("anomaly_label", "SELECT day, n, CASE WHEN n >= 1600 THEN 'OK' ELSE concat_ws('; ', CASE WHEN n = 0 THEN 'No data' ELSE format('Low count ({:,})', n) END, 'Known outage: ' || outage) END AS explanation, n < 1600 AS suspicious FROM od", "dc cal out")
 def anomaly_label(spark, sf):
-    return monitor.explain(monitor.with_outage(monitor.fill_days(_daily(spark, sf)), monitor.outages(spark, _KNOWN)), 33)
+    return monitor.explain(monitor.with_outage(monitor.fill_days(_daily(spark, sf)), monitor.outages(spark, _KNOWN)), 1600)
 
 
 @query("summary_stats", "SELECT count(*) AS days, CAST(sum(n) AS BIGINT) AS total, round(avg(n), 6) AS mean, CAST(median(n) AS DOUBLE) AS median, min(n) AS least, max(n) AS most, round(stddev_samp(n), 6) AS deviation FROM cal", "dc cal")
@@ -270,7 +270,7 @@ def percentiles(spark, sf):
     ar AS (SELECT *, unnest(range(CAST(floor(s * 60 / {1.5 * cells.side_nm(5)!r}::DOUBLE) AS BIGINT), CAST(ceil((s + 1) * 60 / {1.5 * cells.side_nm(5)!r}::DOUBLE) AS BIGINT) + 1)) AS r FROM ap),
     aq AS (SELECT *, unnest(range(CAST(floor(w * {cells.LON_NM!r}::DOUBLE / {cells._ROOT3 * cells.side_nm(5)!r}::DOUBLE - r / 2::DOUBLE) AS BIGINT) - 2, CAST(ceil((w + 1) * {cells.LON_NM!r}::DOUBLE / {cells._ROOT3 * cells.side_nm(5)!r}::DOUBLE - r / 2::DOUBLE) AS BIGINT) + 3)) AS q FROM ar),
     ac AS (SELECT *, r * {1.5 * cells.side_nm(5)!r}::DOUBLE / 60::DOUBLE AS clat, (q + r / 2::DOUBLE) * {cells._ROOT3 * cells.side_nm(5)!r}::DOUBLE / {cells.LON_NM!r}::DOUBLE AS clon FROM aq)
-    SELECT 'FIR' AS airspace_type, 'N' || n_nationkey AS name, 'C' || n_nationkey AS code, '481' AS airac_cfmu, TIMESTAMP '2021-07-15' AS validity_start, TIMESTAMP '2021-08-11' AS validity_end, 0 AS min_fl, CAST(n_nationkey * 10 AS INTEGER) AS max_fl,
+    SELECT 'FIR' AS airspace_type, 'N' || n_nationkey AS name, 'C' || n_nationkey AS code, '481' AS airac_cfmu, TIMESTAMP '2021-08-12' AS validity_start, TIMESTAMP '2021-09-09' AS validity_end, 0 AS min_fl, CAST(n_nationkey * 10 AS INTEGER) AS max_fl,
     '5:' || q || ':' || r AS h3_res_7, round(clat, 6) AS h3_res_7_lat, round(clon, 6) AS h3_res_7_lon FROM ac WHERE clat >= s AND clat < s + 1 AND clon >= w AND clon < w + 1""",
 )
 def airspace_cells(spark, sf):

@@ -13,7 +13,7 @@ from aerolith.operators import export
 from aerolith.plans import calendar, runner
 from aerolith.plans.drivers import Steps
 from aerolith.sources import readers
-from aerolith.sources.store import Ledger, Store
+from aerolith.sources.store import Ledger, Store, emit, write_many
 from aerolith.streaming import ingest
 
 T0 = datetime(2024, 6, 1, 12, tzinfo=timezone.utc)
@@ -141,7 +141,7 @@ def test_steps_end_to_end(spark, tmp_path):
     assert spark.read.csv(f"{tmp_path}/copies/flight_list.csv", header=True).count() == 2
     counts = steps.counts()
     assert counts["tracks"] == 160 and counts["flight_list"] == 2
-    assert steps.report(f"{tmp_path}/report").first().status.startswith("Low count (160)")
+    assert steps.report(f"{tmp_path}/report").first().explanation.startswith("Low count (160)")
     other = Steps(steps.store, replace(config, mode="endpoint"))
     other.store = steps.store
     assert other.flights(*month) == ["2024-06-01"]
@@ -191,3 +191,12 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert json.dumps(sorted(__spark_entry__.oracle_sql()))
+
+
+def test_many_folders_and_one_file(spark, tmp_path):
+    df = spark.range(10).repartition(3)
+    write_many(df, [f"{tmp_path}/a", f"{tmp_path}/b"])
+    assert spark.read.parquet(f"{tmp_path}/b").count() == 10
+    emit(df, f"{tmp_path}/c", "csv")
+    emit(df, f"{tmp_path}/d")
+    assert len(list((tmp_path / "c").glob("part-*"))) == 1 and len(list((tmp_path / "d").glob("part-*.parquet"))) == 1

@@ -141,10 +141,10 @@ def test_event_ids_follow_content(spark, track):
 def test_infrastructure_traces(spark, track):
     df = events.with_progress(track([{"t": t, "baro_altitude": 0.0} for t in (0, 100, 500)]).withColumns({"baro_altitude_c": F.col("baro_altitude"), "h3_res_12": F.lit("c")}))
     flights = spark.createDataFrame([("trk-1", "F1", "A", None, "", "")], "track_id string, flight_id string, adep string, ades string, adep_p string, ades_p string")
-    lay = spark.createDataFrame([("A", "c", 7, "runway", "09"), ("B", "c", 8, "runway", "27")], "hexaero_apt_icao string, hexaero_h3_id string, hexaero_osm_id long, hexaero_aeroway string, hexaero_ref string")
+    lay = spark.createDataFrame([("A", "c", 7, "runway", "09"), ("B", "c", 8, "runway", "27")], "layout_apt_icao string, layout_h3_id string, layout_osm_id long, layout_aeroway string, layout_ref string")
     got = events.infrastructure_events(df, flights, lay).orderBy("event_time").collect()
     assert [(r.type, r.cumulative_time_s) for r in got] == [("entry-runway", 0), ("exit-runway", 100)]
-    assert '"osm_airport":"A"' in got[0].info and '"opdi_time_in_use_s":100' in got[0].info
+    assert '"osm_airport":"A"' in got[0].info and '"time_in_use_s":100' in got[0].info
 
 
 # --- zones ---------------------------------------------------------------------------------------------------------
@@ -199,10 +199,12 @@ def test_unknown_class_stays(spark):
 
 
 def test_outages_and_labels(spark):
-    days = spark.sql("SELECT explode(sequence(date'2023-11-14', date'2023-11-17')) AS day, 5L AS n")
-    got = {str(r.day): r.status for r in monitor.explain(monitor.with_outage(days, monitor.outages(spark)), 10).collect()}
-    assert got["2023-11-15"] == "Low count (5); Known outage: Data loss" and got["2023-11-16"].endswith("Data loss") and got["2023-11-17"] == "Low count (5)"
-    assert monitor.explain(monitor.with_outage(days.limit(1), monitor.outages(spark)), 1).first().status == "OK"
+    days = spark.sql("SELECT explode(sequence(date'2023-11-14', date'2023-11-17')) AS day, 5432L AS n")
+    got = {str(r.day): r.explanation for r in monitor.explain(monitor.with_outage(days, monitor.outages(spark))).collect()}
+    period = "2023-11-15 06:00:00 to 2023-11-16 08:00:00"
+    assert got == {"2023-11-14": "Low count (5,432)", "2023-11-15": f"Low count (5,432); Known outage: {period}", "2023-11-16": f"Low count (5,432); Known outage: {period}", "2023-11-17": "Low count (5,432)"}
+    enough = monitor.with_outage(days, monitor.outages(spark))
+    assert {r.explanation for r in monitor.explain(enough, 5432).collect()} == {"OK"}
     assert monitor.fill_days(days.limit(0)).count() == 0
 
 

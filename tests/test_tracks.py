@@ -103,3 +103,10 @@ def test_polyfill_covers_the_area(spark):
     n = cells.polyfill(df, "ring", 6).count()
     area = math.pi * 100 * math.cos(math.radians(48)) / math.cos(math.radians(50))
     assert n == pytest.approx(area / (cells.AREA_0_KM2 / 7**6 / 1.852**2), rel=0.1)
+
+
+def test_geojson_round_trip(spark):
+    df = spark.range(1).select(geo.circle(50.0, 4.0, 10.0, 12).alias("ring"), geo.circle_geojson(50.0, 4.0, 10.0, 12).alias("text"))
+    r = df.select("ring", cells.geojson_ring(F.col("text")).alias("back")).first()
+    assert [tuple(p) for p in r.back] == [tuple(p) for p in r.ring]
+    assert one(spark, cells.geojson_ring(F.lit("no json"))) is None
