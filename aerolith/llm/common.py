@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -35,10 +36,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of our own where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a folder of our own, but only if driver and executors are one process (tests)."""
     sc = spark.sparkContext
     at = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not at:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         at = "file://" + tempfile.mkdtemp(prefix="aerolith-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(at)

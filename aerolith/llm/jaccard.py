@@ -227,7 +227,7 @@ def jaccard_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 
 
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """docs with one row of each class, that with the least doc_id; same columns."""
+    """docs with one row of each class, that with the least doc_id; same columns. Rows that repeat both text and doc_id stay together."""
     _, nodes = classes(docs, text, doc_id)
     key, keep = fresh(docs, "tkey", "keep")
     nodes = nodes.select(F.col("tkey").alias(key), F.col("class_id").alias(keep))
