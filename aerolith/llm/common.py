@@ -79,22 +79,22 @@ def text_of(name: str = "text") -> Column:
 # --- words and shingles of a whole batch in flat arrays ---------------------------------------------------------
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+#: Rows that are hashed at a time: what they need is some tens of MB.
+HASH_ROWS = 500
 #: The white space that parts words: space and 9 to 13.
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
-_powers: dict[str, np.ndarray] = {}
+_powers = np.ones(1, np.uint64)
 
 
-def _power(kind: str, n: int) -> np.ndarray:
-    have = _powers.get(kind)
-    if have is None or len(have) < n:
-        size = max(1 << 16, 1 << (n - 1).bit_length())
-        have = np.full(size, _BASE if kind == "up" else _INVERSE, np.uint64)
-        have[0] = 1
-        have = np.multiply.accumulate(have)
-        _powers[kind] = have
-    return have[:n]
+def _power(n: int) -> np.ndarray:
+    """The first n powers of the base; the table grows to the longest word met."""
+    global _powers
+    if len(_powers) < n:
+        _powers = np.full(1 << (n - 1).bit_length(), _BASE, np.uint64)
+        _powers[0] = 1
+        _powers = np.multiply.accumulate(_powers)
+    return _powers[:n]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -129,9 +129,12 @@ def word_hashes(flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     closes = inside.copy()  # the last byte of a word
     closes[:-1] &= ~inside[1:] | edge[1:n]
     begin, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * _power("up", n), out=sums[1:])
-    words = (sums[end] - sums[begin]) * _power("down", n)[begin]
+    if not len(begin):
+        return np.zeros(0, np.uint64), np.zeros(len(starts), np.int64)
+    sizes = end - begin
+    first = np.cumsum(sizes) - sizes  # of each word among the bytes inside words
+    place = np.arange(first[-1] + sizes[-1]) - np.repeat(first, sizes)
+    words = np.add.reduceat((flat[inside].astype(np.uint64) + np.uint64(1)) * _power(int(sizes.max()))[place], first)
     return mix(words), np.searchsorted(begin, starts)
 
 

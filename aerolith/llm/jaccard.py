@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, flat_bytes, fresh, mix, shingle_hashes, table, text_of, word_hashes
+from .common import HASH_ROWS, cut, flat_bytes, fresh, mix, shingle_hashes, table, text_of, word_hashes
 from .graph import components
 
 NGRAM = 5
@@ -88,8 +88,8 @@ def signatures(texts: pa.Array, bands: int, rows: int) -> tuple[np.ndarray, np.n
 def _sign(bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 2000):
-                part = batch.slice(k, 2000)
+            for k in range(0, batch.num_rows, HASH_ROWS):
+                part = batch.slice(k, HASH_ROWS)
                 counts, hashes = signatures(part.column(2), bands, rows)
                 offsets = np.concatenate([[0], np.cumsum(np.where(counts > 0, bands, 0))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes[counts > 0].ravel().view(np.int64)))

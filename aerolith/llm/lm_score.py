@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, flat_bytes, mix, table, text_of, word_hashes
+from .common import HASH_ROWS, cut, flat_bytes, mix, table, text_of, word_hashes
 
 WORD_BITS, PAIR_BITS = 18, 20
 PAIR, WORD = 0.6, 0.95
@@ -57,8 +57,8 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros((2, _CELLS), np.int64)
     for batch in batches:
-        for k in range(0, batch.num_rows, 1000):
-            part = batch.slice(k, 1000)
+        for k in range(0, batch.num_rows, HASH_ROWS):
+            part = batch.slice(k, HASH_ROWS)
             word, _, pair, at = _tokens(part.column(0))
             sizes = np.diff(at)
             chosen = part.column(1).to_numpy(zero_copy_only=False).astype(bool)
@@ -123,8 +123,8 @@ def score(docs: DataFrame, chosen: DataFrame, doc_id: str = "doc_id", text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, totals = model.value
         for batch in batches:
-            for k in range(0, batch.num_rows, 1000):
-                part = batch.slice(k, 1000)
+            for k in range(0, batch.num_rows, HASH_ROWS):
+                part = batch.slice(k, HASH_ROWS)
                 word, previous, pair, at = _tokens(part.column(1))
                 n = np.diff(at)
                 none = n == 0

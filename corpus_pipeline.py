@@ -54,6 +54,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents. What each leaves is a table in the shared folder, from which the next one reads: a lost executor costs a stage's own tasks at most."""
     docs = table(spark, sf_dir, "documents")
     at = work_dir(spark, "pipeline")
     for k, (_, stage) in enumerate(STAGES[:-1]):
