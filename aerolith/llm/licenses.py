@@ -132,6 +132,10 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+#: Items of a run; see _gathered.
+RUN = 256
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, _UPPER, _LOWER)
 
@@ -150,20 +154,39 @@ def _gate() -> list[str]:
     return out
 
 
+def _gathered(rows: Column, kind: str, state: dict[str, Column], step) -> Column:
+    """The items, of the given type, that step makes of rows one after the other. step(state, row) gives the next state, an item, and a condition under which the item counts (None: always).
+
+    An array that is appended to is copied each time, so items are gathered in runs of RUN, and full runs in an array of their own: a text with many items costs little more per item than one with few.
+    """
+    start = F.struct(*[v.alias(k) for k, v in state.items()], F.array().cast(f"array<{kind}>").alias("run"), F.array().cast(f"array<array<{kind}>>").alias("full"))
+
+    def merge(a: Column, x: Column) -> Column:
+        after, item, counts = step(a, x)
+        one = F.array(item)
+        if counts is not None:
+            one = F.when(counts, one).otherwise(F.array().cast(f"array<{kind}>"))
+        ended = F.size(a["run"]) >= RUN
+        run = F.when(ended, one).otherwise(F.concat(a["run"], one))
+        full = F.when(ended, F.concat(a["full"], F.array(a["run"]))).otherwise(a["full"])
+        return F.struct(*[v.alias(k) for k, v in after.items()], run.alias("run"), full.alias("full"))
+
+    return F.aggregate(rows, start, merge, lambda a: F.flatten(F.concat(a["full"], F.array(a["run"]))))
+
+
 def _places(text: Column, rule: Column) -> Column:
     """Detections of one rule: its matches part the text, and the lengths of parts and matches give their places."""
 
     def run(parts: Column) -> Column:
         found = F.regexp_extract_all(text, rule["regex"], F.lit(0))
         lengths = F.zip_with(F.slice(parts, 1, F.size(parts) - 1), found, lambda p, m: F.struct(F.length(p).alias("gap"), F.length(m).alias("own")))
-        empty = F.array().cast("array<struct<start:int,end:int>>")
-        state = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-        places = F.aggregate(
-            lengths,
-            state,
-            lambda a, x: F.struct((a["at"] + x["gap"] + x["own"]).alias("at"), F.concat(a["out"], F.array(F.struct((a["at"] + x["gap"]).alias("start"), (a["at"] + x["gap"] + x["own"]).alias("end")))).alias("out")),
-            lambda a: a["out"],
-        )
+
+        def step(a: Column, x: Column):
+            start = a["at"] + x["gap"]
+            end = start + x["own"]
+            return {"at": end}, F.struct(start.alias("start"), end.alias("end")), None
+
+        places = _gathered(lengths, "struct<start:int,end:int>", {"at": F.lit(0)}, step)
         return F.transform(places, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), rule["priority"].alias("priority"), rule["id"].alias("id"), rule["label"].alias("label"), rule["confidence"].alias("confidence")))
 
     return let(F.split(text, rule["regex"], -1), run)
@@ -171,17 +194,16 @@ def _places(text: Column, rule: Column) -> Column:
 
 def _unsuppressed(found: Column) -> Column:
     """found, sorted by (start, longest first, priority, rule), without what lies in an earlier one of equal or better priority. The state holds how far detections of each priority or a better one reach so far."""
-    kept = "array<struct<start:int,end:int,priority:int,rule:int,label:string,confidence:double>>"
+    kind = "struct<start:int,end:int,priority:int,rule:int,label:string,confidence:double>"
     reach = [f"r{p}" for p in range(4)]
-    state = F.struct(*[F.lit(-1).alias(r) for r in reach], F.array().cast(kept).alias("out"))
 
-    def step(a: Column, s: Column) -> Column:
+    def step(a: Column, s: Column):
         end = -s["back"]
         inside = F.coalesce(*[F.when(s["priority"] == p, a[r] >= end) for p, r in enumerate(reach)])
-        own = F.array(F.struct(s["start"].alias("start"), end.alias("end"), s["priority"].alias("priority"), s["id"].alias("rule"), s["label"].alias("label"), s["confidence"].alias("confidence")))
-        return F.struct(*[F.when(s["priority"] <= p, F.greatest(a[r], end)).otherwise(a[r]).alias(r) for p, r in enumerate(reach)], F.when(inside, a["out"]).otherwise(F.concat(a["out"], own)).alias("out"))
+        own = F.struct(s["start"].alias("start"), end.alias("end"), s["priority"].alias("priority"), s["id"].alias("rule"), s["label"].alias("label"), s["confidence"].alias("confidence"))
+        return {r: F.when(s["priority"] <= p, F.greatest(a[r], end)).otherwise(a[r]) for p, r in enumerate(reach)}, own, ~inside
 
-    return F.aggregate(F.array_sort(found), state, step, lambda a: a["out"])
+    return _gathered(F.array_sort(found), kind, {r: F.lit(-1) for r in reach}, step)
 
 
 def detections(text: Column) -> Column:

@@ -29,6 +29,7 @@ TEXTS = [
     "summit license permit license",
     "word " * 30_000 + "released under the MIT License",
     "mit license " * 400,
+    "© 2020 cc by " * 3000,
 ]
 
 
