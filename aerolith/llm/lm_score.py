@@ -9,10 +9,13 @@ less loss under the background, in nats: the lower, the more like the target.
 A word's probability after another mixes three estimates: PAIR * count(pair) / count(first) + (1 - PAIR) * (WORD *
 count(word) / all words + (1 - WORD) / cells); after a word that was never seen only the latter two count. A text begins after a mark that is no word.
 
+Every document is scored by models that do not hold it: its own counts are taken off the background, and off the target if it belongs to it. Else each
+document of the target would be found to be like itself, and only documents outside it would be judged.
+
 Scale: counts cover every token of every document. Each task counts into two flat tables and emits their slices that are not empty; slices are summed in two
 rounds, first by (slice, salt), so that no task adds up more than a share of them. What is collected and broadcast are the
 finished tables, 4 * 2 * (2**WORD_BITS + 2**PAIR_BITS) bytes whatever the corpus. Texts meet the labels by one
-equi-join; scoring is a pass without shuffle.
+equi-join in either pass.
 
 Defined cases: a null or empty text has no tokens; its losses and score are null. Texts of any length are scored
 whole. A row without label, or with a null one, belongs to the background alone; of several labels of a doc_id the
@@ -103,11 +106,16 @@ def count_models(rows: DataFrame) -> np.ndarray:
     return out
 
 
-def losses(counts: np.ndarray, all_words: float, word: np.ndarray, previous: np.ndarray, pair: np.ndarray) -> np.ndarray:
-    """The loss of each token under one model, in nats."""
-    single = WORD * counts[word] / max(all_words, 1.0) + (1 - WORD) / _WORDS
-    seen = counts[previous].astype(float)
-    p = np.where(seen > 0, PAIR * counts[pair] / np.maximum(seen, 1.0) + (1 - PAIR) * single, single)
+def _own(cells: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """How often each token's cell occurs in its own document."""
+    _, which, n = np.unique(doc * np.int64(_CELLS) + cells, return_inverse=True, return_counts=True)
+    return n[which]
+
+
+def losses(all_words: np.ndarray, word: np.ndarray, previous: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """The loss of each token, in nats, from the counts of its word, of the one before and of the pair, and of all words."""
+    single = WORD * word / np.maximum(all_words, 1.0) + (1 - WORD) / _WORDS
+    p = np.where(previous > 0, PAIR * pair / np.maximum(previous, 1.0) + (1 - PAIR) * single, single)
     return -np.log(np.minimum(p, 1.0))
 
 
@@ -117,7 +125,8 @@ def score(docs: DataFrame, chosen: DataFrame, doc_id: str = "doc_id", text: str
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
     # always dealt by doc_id: the list of the target grows with the corpus and is never broadcast
     marks = chosen.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(True).alias("chosen")).hint("merge")
-    counted = count_models(rows.join(marks, "doc_id", "left").select("text", F.coalesce("chosen", F.lit(False)).alias("chosen")))
+    rows = rows.join(marks, "doc_id", "left").select("doc_id", "text", F.coalesce("chosen", F.lit(False)).alias("chosen"))
+    counted = count_models(rows)
     model = spark.sparkContext.broadcast((counted.astype(np.uint32) if counted.max(initial=0) < 1 << 32 else counted, counted[:, :_WORDS].sum(axis=1).astype(float)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,9 +137,16 @@ def score(docs: DataFrame, chosen: DataFrame, doc_id: str = "doc_id", text: str
                 word, previous, pair, at = _tokens(part.column(1))
                 n = np.diff(at)
                 none = n == 0
+                doc = np.repeat(np.arange(len(n)), n)
+                own_word, own_pair = _own(word, doc), _own(pair, doc)
+                own_previous = np.concatenate([[1], own_word[:-1]]) if len(word) else own_word
+                own_previous[at[:-1][~none]] = 1  # the mark of the beginning
+                member = part.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
                 mean = []
-                for m in range(2):
-                    sums = np.concatenate([[0.0], np.cumsum(losses(tables[m], totals[m], word, previous, pair))])
+                for m, held in enumerate((member[doc], np.ones(len(doc), np.int64))):
+                    less = lambda cells, own, m=m, held=held: tables[m][cells].astype(float) - own * held
+                    loss = losses(totals[m] - n[doc] * held, less(word, own_word), less(previous, own_previous), less(pair, own_pair))
+                    sums = np.concatenate([[0.0], np.cumsum(loss)])
                     mean.append((sums[at[1:]] - sums[at[:-1]]) / np.maximum(n, 1))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), *[pa.array(x, pa.float64(), mask=none) for x in (*mean, mean[0] - mean[1])]], ["doc_id", "n_tokens", "loss_target", "loss_background", "score"])
 

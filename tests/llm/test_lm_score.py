@@ -11,24 +11,25 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def brute(rows, target):
-    """Plain dictionaries instead of hashed cells; equal as long as no two words share a cell."""
+    """Plain dictionaries instead of hashed cells, counted anew without each document; equal as long as no two words share a cell."""
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     tokens = [WORD.findall((t or "").translate(low)) for _, t in rows]
-    models = []
-    for chosen in (lambda i: i in target, lambda i: True):
+    def count(some):
         one, two, n = {}, {}, 0
-        for (i, _), words in zip(rows, tokens, strict=True):
-            if chosen(i) and words:
+        for words in some:
+            if words:
                 one[None] = one.get(None, 0) + 1
                 for a, b in zip([None, *words], words, strict=False):
                     one[b] = one.get(b, 0) + 1
                     two[a, b] = two.get((a, b), 0) + 1
                     n += 1
-        models.append((one, two, n))
+        return one, two, n
+
     out = []
-    for (i, _), words in zip(rows, tokens, strict=True):
-        means = []
-        for one, two, n in models:
+    for k, (i, _) in enumerate(rows):
+        words, means = tokens[k], []
+        for chosen in (lambda i: i in target, lambda i: True):
+            one, two, n = count([w for j, w in enumerate(tokens) if j != k and chosen(rows[j][0])])
             total = 0.0
             for a, b in zip([None, *words], words, strict=False):
                 p1 = M.WORD * one.get(b, 0) / max(n, 1) + (1 - M.WORD) / M._WORDS
