@@ -9,6 +9,11 @@ A measure's upper threshold is median + FENCE * (90th percentile - median), but
 likewise downwards for word length. A group in which nothing stands out loses nothing, however many rows it has. A
 group of fewer than MIN_GROUP rows takes the threshold of its language, and a language of fewer that of all rows.
 
+The 90th percentile is itself junk where more than a tenth of a group is. drop_low_quality, the pipeline's stage, therefore bounds the
+fence by what less than half of a group cannot move: the other half mirrored, median + FENCE * (median - 10th percentile), or
+twice the median if that is more (for word length downwards half the median, if that is less). The fence is never wider than without the
+bound, and the floors hold as before. op10_quality has no bound: its results are those of OP10_SQL, which has none.
+
 Scale: texts are not shuffled. They are read twice: once to fill the sketches, once to apply the thresholds, which costs a scan but no
 disk. Sketches shuffle (group, bucket, count) rows only; a hot source arrives as one row per bucket and task. The thresholds
 have a row for each (lang, source); they are broadcast if there are at most MAX_BROADCAST_GROUPS of them (counted first), else joined
@@ -132,8 +137,8 @@ def _quantiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
     return lists.select(*keys, "kind", "n", reach(10).alias("lo"), reach(50).alias("mid"), reach(90).alias("hi"))
 
 
-def thresholds(sketches: DataFrame) -> DataFrame:
-    """(lang, source, max_<kind>.., min_length): one row per group of the sketches."""
+def thresholds(sketches: DataFrame, bounded: bool = False) -> DataFrame:
+    """(lang, source, max_<kind>.., min_length): one row per group of the sketches; bounded: by what less than half of a group cannot move."""
     own = _quantiles(sketches, ["lang", "source"])
     by_lang = _quantiles(sketches, ["lang"]).select("lang", "kind", *[F.col(c).alias(f"l_{c}") for c in ("n", "lo", "mid", "hi")])
     of_all = _quantiles(sketches, []).select("kind", *[F.col(c).alias(f"a_{c}") for c in ("n", "lo", "mid", "hi")])
@@ -142,17 +147,20 @@ def thresholds(sketches: DataFrame) -> DataFrame:
         rows = rows.withColumn(f"use_{c}", F.when(F.col("n") >= MIN_GROUP, F.col(c)).when(F.col("l_n") >= MIN_GROUP, F.col(f"l_{c}")).otherwise(F.col(f"a_{c}")))
     upper = F.col("use_mid") + FENCE * (F.col("use_hi") - F.col("use_mid"))
     lower = F.col("use_mid") - FENCE * (F.col("use_mid") - F.col("use_lo"))
+    if bounded:
+        mirrored, downwards = 2 * F.col("use_mid") - lower, 2 * F.col("use_mid") - upper
+        upper, lower = F.least(upper, F.greatest(mirrored, 2 * F.col("use_mid"))), F.greatest(lower, F.least(downwards, F.floor(F.col("use_mid") / 2)))
     aggs = [F.max(F.when(F.col("kind") == k, F.greatest(upper, F.lit(floor)))).alias(f"max_{k}") for k, (_, floor) in UPPER.items()]
     aggs += [F.max(F.when(F.col("kind") == k, F.least(lower, F.lit(most)))).alias(f"min_{k}") for k, most in LOWER.items()]
     return rows.groupBy("lang", "source").agg(*aggs)
 
 
-def judged(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", prefix: str = "") -> tuple[DataFrame, dict[str, str]]:
+def judged(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", prefix: str = "", bounded: bool = False) -> tuple[DataFrame, dict[str, str]]:
     """docs with the measures, base_failed and kept, under names that prefix makes free; and those names."""
     wanted = [*MEASURES, "base_failed", "kept"]
     names = dict(zip(wanted, fresh(docs, *[f"{prefix}{x}" for x in wanted]), strict=True))
     rows = measured(docs, text, names)
-    limits = cut(thresholds(sketch(rows, names, lang, source)))
+    limits = cut(thresholds(sketch(rows, names, lang, source), bounded))
     g_lang, g_source = fresh(rows, "g_lang", "g_source")
     cols = {c: n for c, n in zip([c for c in limits.columns if c not in ("lang", "source")], fresh(rows, *[c for c in limits.columns if c not in ("lang", "source")]), strict=True)}
     limits_named = limits.select(F.col("lang").alias(g_lang), F.col("source").alias(g_source), *[F.col(c).alias(n) for c, n in cols.items()])
@@ -172,7 +180,7 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
 
 def drop_low_quality(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """docs without the rows that the rules reject; same columns."""
-    out, names = judged(docs, text, lang, source)
+    out, names = judged(docs, text, lang, source, bounded=True)
     return out.filter(F.col(names["kept"])).select(*docs.columns)
 
 

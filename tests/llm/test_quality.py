@@ -64,6 +64,19 @@ def test_adapts_and_leaves_clean_groups_alone(docs):
     assert kept == {r[0] for r in rows} - {900}
 
 
+@pytest.mark.parametrize("share", [5, 15, 40])
+def test_junk_does_not_loosen_its_own_threshold(docs, share):
+    plain = "the quick brown fox number {} jumps over a lazy dog while rain falls on house {}"
+    junk = lambda k: plain.format(k, k + 7) + " " + " ".join("#$%&" for _ in range(3 + k % 5))
+    short = lambda k: " ".join("a" if j % 3 else str(k % 10) for j in range(12))
+    rows = [(k, plain.format(k, k + 7) if k % 100 >= share else junk(k), "en", "hot") for k in range(200)]
+    rows += [(1000 + k, plain.format(k, k + 7) if k % 100 >= share else f"{short(k)} {k}", "en", "short") for k in range(200)]
+    # a source of many symbols throughout, with some spread, is not junk
+    rows += [(2000 + k, plain.format(k, k + 3) + " " + " ".join(f"#{k}_{j}" for j in range(8 + k % 3)), "en", "code") for k in range(200)]
+    kept = {r.doc_id for r in Q.drop_low_quality(docs(*rows)).collect()}
+    assert kept == {r[0] for r in rows if r[0] >= 2000 or r[0] % 100 >= share}
+
+
 def test_nulls_and_empty(docs):
     df = docs((1, None, None, None), (None, "one two three four five six seven eight nine ten eleven", None, "s"), (None, "one two three four five six seven eight nine ten eleven", None, "s"))
     assert [r.doc_id for r in Q.drop_low_quality(df).collect()] == [None, None]
