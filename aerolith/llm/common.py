@@ -58,6 +58,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def one_each(kept: DataFrame, group: str, repeated: str, columns: list[str]) -> DataFrame:
+    """One row, of the given columns, of each group of kept. Only groups marked as repeated are grouped: of their rows the one with the least hash of its columns stays, chosen before the shuffle."""
+    row = F.struct(*columns)
+    picked = kept.filter(F.col(repeated)).groupBy(group).agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("row"))
+    return kept.filter(~F.col(repeated)).select(*columns).unionAll(picked.select("row.*"))
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names that df does not have, in any case."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -12,7 +12,7 @@ shards grows with the digests, so that a task holds some tens of thousands. The
 on its left side, whose hot keys adaptive execution splits.
 
 Defined cases: a null text is empty. A null doc_id never stays unless all of its group are null. Rows that repeat both text
-and doc_id cannot be told apart: they share one keep_id and all count as kept. Ties do not arise otherwise. Empty
+and doc_id cannot be told apart: they share one keep_id and all count as kept; drop_copies leaves one of them. Ties do not arise otherwise. Empty
 tables give empty results. Other columns, whatever their names, are neither read nor disturbed.
 """
 
@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, mix, table, text_of
+from .common import cut, fresh, mix, one_each, table, text_of
 
 #: About so many digests in a shard: 0.8 MB of slots.
 SHARD_DIGESTS = 1 << 14
@@ -162,14 +162,19 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
 
 def drop_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """docs without the rows that are copies of one that stays; same columns."""
+    """docs without the rows that are copies of one that stays; same columns. Of rows that repeat the doc_id that stays as well, or that all have none, one stays."""
     rows = cut(digests(docs, text, doc_id))
     first = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
     found = _resolve(rows, rows.filter(first), rows.filter(~first))
-    key, keep = fresh(docs, "digest", "keep")
-    found = found.select(F.col("digest").alias(key), F.col("keep_id").alias(keep))
+    again = cut(rows.groupBy("digest", "doc_id").count().filter("count > 1").select(F.col("digest").alias("of"), "doc_id"))
+    key, keep, repeated = fresh(docs, "digest", "keep", "repeated")
+    some = not again.isEmpty()
+    if some:
+        found = found.join(again, (F.col("digest") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("keep_id")), "left")
+    found = found.select(F.col("digest").alias(key), F.col("keep_id").alias(keep), (F.col("of").isNotNull() if some else F.lit(False)).alias(repeated))
     marked = docs.withColumn(key, F.unhex(F.sha2(text_of(text), 256)))
-    return marked.join(found, key, "left").filter(F.col(doc_id).cast("long").eqNullSafe(F.col(keep))).select(*docs.columns)
+    kept = marked.join(found, key, "left").filter(F.col(doc_id).cast("long").eqNullSafe(F.col(keep)))
+    return one_each(kept, key, repeated, docs.columns) if some else kept.select(*docs.columns)
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import HASH_ROWS, cut, flat_bytes, fresh, mix, shingle_hashes, table, text_of, word_hashes
+from .common import HASH_ROWS, cut, flat_bytes, fresh, mix, one_each, shingle_hashes, table, text_of, word_hashes
 from .graph import components
 
 NGRAM = 5
@@ -217,7 +217,7 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tupl
     tops = names.join(closed.union(across), "tkey", "left").join(total, "tkey", "left")
     tops = tops.select("tkey", "rep", "n_copies", F.coalesce("top", "tkey").alias("top"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     named = tops.groupBy("top").agg(F.min("rep").alias("class_id"))
-    return signed.select("doc_id", "tkey"), tops.join(named, "top").select("tkey", "class_id", "n_links", "n_copies")
+    return signed.select("doc_id", "tkey"), tops.join(named, "top").select("tkey", "class_id", "n_links", "n_copies", "top")
 
 
 def jaccard_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -227,11 +227,18 @@ def jaccard_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 
 
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """docs with one row of each class, that with the least doc_id; same columns. Rows that repeat both text and doc_id stay together."""
-    _, nodes = classes(docs, text, doc_id)
-    key, keep = fresh(docs, "tkey", "keep")
-    nodes = nodes.select(F.col("tkey").alias(key), F.col("class_id").alias(keep))
-    return docs.withColumn(key, _tkey(text_of(text))).join(nodes, key, "left").filter(F.col(doc_id).cast("long").eqNullSafe(F.col(keep))).select(*docs.columns)
+    """docs with one row of each class, that with the least doc_id; same columns. Of rows that repeat this doc_id, or of a class without any, one stays."""
+    rows, nodes = classes(docs, text, doc_id)
+    nodes = cut(nodes.select("tkey", "class_id", "top"))
+    staying = rows.join(nodes, "tkey").filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    again = cut(staying.groupBy("top").count().filter("count > 1").select(F.col("top").alias("of")))
+    key, keep, group, repeated = fresh(docs, "tkey", "keep", "top", "repeated")
+    some = not again.isEmpty()
+    if some:
+        nodes = nodes.join(again, F.col("top") == F.col("of"), "left")
+    nodes = nodes.select(F.col("tkey").alias(key), F.col("class_id").alias(keep), F.col("top").alias(group), (F.col("of").isNotNull() if some else F.lit(False)).alias(repeated))
+    kept = docs.withColumn(key, _tkey(text_of(text))).join(nodes, key, "left").filter(F.col(doc_id).cast("long").eqNullSafe(F.col(keep)))
+    return one_each(kept, group, repeated, docs.columns) if some else kept.select(*docs.columns)
 
 
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,3 +49,9 @@ def test_drop_copies_keeps_columns(docs, with_clashes):
     df = with_clashes(docs((1, "a"), (2, "a"), (3, "b"), (None, "c")))
     got = D.drop_copies(df)
     assert got.columns == df.columns and sorted((r.doc_id for r in got.collect()), key=repr) == [2, 3, None]
+
+
+def test_drop_copies_keeps_one_row_of_repeated_ids(docs):
+    rows = [(1, "a", "en", "s")] * 3 + [(None, "c")] * 4 + [(1, "d"), (2, "d"), (2, "d"), (7, "e"), (2, "a", "de", "x"), (2, "a", "fr", "y")]
+    got = D.drop_copies(docs(*rows)).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted([(2, "a"), (None, "c"), (2, "d"), (7, "e")], key=repr)

@@ -115,6 +115,15 @@ def test_keep_one(docs, with_clashes):
     assert got.columns == df.columns and {r.doc_id for r in got.collect()} == want
 
 
+def test_keep_one_of_repeated_and_missing_ids(docs):
+    words = [f"w{k}" for k in range(200)]
+    near = " ".join([*words[:100], "changed", *words[101:]])
+    other = " ".join(f"v{k}" for k in range(200))
+    rows = [(None, " ".join(words))] * 3 + [(None, near)] * 2 + [(5, other)] * 3 + [(6, other), (8, "x y z")]
+    got = J.keep_one(docs(*rows)).collect()
+    assert sorted((r.doc_id or 0) for r in got) == [0, 5, 8]
+
+
 def test_empty_and_nulls(docs):
     assert J.jaccard_classes(docs()).count() == 0 and J.keep_one(docs()).count() == 0
     got = J.jaccard_classes(docs((None, "a b c"), (None, None))).collect()
