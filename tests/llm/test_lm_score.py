@@ -76,3 +76,45 @@ def test_no_target_and_empty(spark, docs):
     (r,) = M.score(docs((1, "a b")), none).collect()
     assert r.loss_target == pytest.approx(-math.log((1 - M.WORD) / M._WORDS))
     assert M.score(docs(), none).count() == 0
+
+
+@pytest.mark.parametrize("size", [1 << 14, 1 << 24])
+def test_more_words_than_cells(spark, docs, monkeypatch, size):
+    """Counts are of words and pairs, not of cells that strangers share."""
+    monkeypatch.setattr(M, "CHUNK", size, raising=False)
+    rng = random.Random(4)
+    rows = [(k, " ".join(f"w{rng.randrange(400_000)}" if rng.random() < 0.9 else f"w{rng.randrange(50)}" for _ in range(3000))) for k in range(120)]
+    rows += [(None, rows[0][1]), (7, "w1 w2 w1"), (None, None)]
+    target = set(range(0, 120, 3))
+    one, two, n = [{}, {}], [{}, {}], [0, 0]
+    tokens = [(t or "").split() for _, t in rows]
+
+    def add(words, m, sign):
+        for a, b in zip([None, *words], words, strict=False):
+            one[m][b] = one[m].get(b, 0) + sign
+            two[m][a, b] = two[m].get((a, b), 0) + sign
+        one[m][None] = one[m].get(None, 0) + sign * bool(words)
+        n[m] += sign * len(words)
+
+    for (i, _), words in zip(rows, tokens, strict=True):
+        for m in range(2 if i in target else 1):
+            add(words, 1 - m, 1)
+    want = []
+    for (i, _), words in zip(rows, tokens, strict=True):
+        means = []
+        for m in range(2):
+            held = m == 1 or i in target
+            if held:
+                add(words, m, -1)
+            total = 0.0
+            for a, b in zip([None, *words], words, strict=False):
+                p1 = M.WORD * one[m].get(b, 0) / max(n[m], 1) + (1 - M.WORD) / M._WORDS
+                total -= math.log(M.PAIR * two[m].get((a, b), 0) / one[m][a] + (1 - M.PAIR) * p1 if one[m].get(a) else p1)
+            means.append(total / len(words) if words else None)
+            if held:
+                add(words, m, 1)
+        want.append((i, len(words), *means, means[0] - means[1] if words else None))
+    key = lambda r: (str(r[0]), r[1])
+    got = sorted(map(tuple, M.score(docs(*rows), spark.createDataFrame([(k,) for k in target], "doc_id long")).collect()), key=key)
+    for a, b in zip(got, sorted(want, key=key), strict=True):
+        assert a[:2] == b[:2] and (a[2:] == b[2:] if b[2] is None else a[2:] == pytest.approx(b[2:], rel=1e-9)), a
