@@ -14,6 +14,9 @@ fence by what less than half of a group cannot move: the other half mirrored, me
 twice the median if that is more (for word length downwards half the median, if that is less). The fence is never wider than without the
 bound, and the floors hold as before. op10_quality has no bound: its results are those of OP10_SQL, which has none.
 
+The floors are fixed rules. On groups whose quantiles lie close together they are what decides, and thresholds can only be looser than
+they are. The floor of repeats equals the base rule, so that this measure rejects no row.
+
 Scale: texts are not shuffled. They are read twice: once to fill the sketches, once to apply the thresholds, which costs a scan but no
 disk. Sketches shuffle (group, bucket, count) rows only; a hot source arrives as one row per bucket and task. The thresholds
 have a row for each (lang, source); they are broadcast if there are at most MAX_BROADCAST_GROUPS of them (counted first), else joined
