@@ -8,7 +8,7 @@ slot; nonmembers form groups of their own.
 
 Scale: rows are reduced to (doc_id, 32-byte digest) before anything is shuffled, and to one row per digest by map-side
 aggregation before they are dealt by digest, so that a text with a third of all rows is one row per task. The number of
-shards grows with the digests, so that a task holds some tens of thousands. The join back is a plain equi-join with rows
+shards grows with the rows of history and arrivals, so that a task holds some tens of thousands of digests. The join back is a plain equi-join with rows
 on its left side, whose hot keys adaptive execution splits.
 
 Defined cases: a null text is empty. A null doc_id never stays unless all of its group are null. Rows that repeat both text
@@ -19,11 +19,11 @@ tables give empty results. Other columns, whatever their names, are neither read
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, mix, one_each, table, text_of
+from .common import cut, fresh, mix, one_each, ship, table, text_of
 
 #: About so many digests in a shard: 0.8 MB of slots.
 SHARD_DIGESTS = 1 << 14
@@ -75,48 +75,53 @@ class PerfectHash:
         return out
 
 
-def _matrix(digests) -> np.ndarray:
-    return np.frombuffer(b"".join(map(bytes, digests)), np.uint8).reshape(-1, 32).copy()
+def _matrix(digests: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(digests.to_pylist()), np.uint8).reshape(-1, 32).copy()
 
 
-def _build(pdf: pd.DataFrame) -> pd.DataFrame:
-    digests = _matrix(pdf["digest"])
+def _longs(column: pa.ChunkedArray) -> np.ndarray:
+    return column.combine_chunks().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+
+
+def _flags(column: pa.ChunkedArray) -> np.ndarray:
+    return column.combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
+
+
+def _build(rows: pa.Table) -> pa.Table:
+    """One row: the shard's index. Winners are whole numbers beside a mark of whether there is one, never floats."""
+    digests = _matrix(rows["digest"])
     index = PerfectHash.build(digests)
     order = np.empty(len(digests), np.int64)
     order[index.slots(digests)] = np.arange(len(digests))
-    has = pdf["winner"].notna().to_numpy()
-    winners = pdf["winner"].fillna(0).to_numpy(np.int64)
-    row = (int(pdf["shard"].iloc[0]), len(digests), index.levels.tobytes(), np.packbits(index.bits).tobytes(), digests[order].tobytes(), winners[order].tobytes(), has[order].tobytes(), pdf["n"].to_numpy(np.int64)[order].tobytes())
-    return pd.DataFrame([row], columns=["shard", "n", "levels", "bits", "digests", "winners", "has", "counts"])
+    values = [rows["shard"][0].as_py(), len(digests), index.levels.tobytes(), np.packbits(index.bits).tobytes(), digests[order].tobytes(), *[x[order].tobytes() for x in (_longs(rows["winner"]), _flags(rows["known"]), _longs(rows["n"]))]]
+    names = ["shard", "n", "levels", "bits", "digests", "winners", "has", "counts"]
+    return pa.Table.from_arrays([pa.array([v], pa.int64() if isinstance(v, int) else pa.binary()) for v in values], names)
 
 
-def _look_up(new: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+def _look_up(new: pa.Table, held: pa.Table) -> pa.Table:
     """All groups of a shard: the registry's slots, updated by the members among new, then the nonmembers."""
-    winner = np.array([np.nan if w is None else w for w in new["winner"]], object) if len(new) else np.array([], object)
-    n = new["n"].to_numpy(np.int64) if len(new) else np.zeros(0, np.int64)
-    digests = _matrix(new["digest"]) if len(new) else np.zeros((0, 32), np.uint8)
-    known = lambda x: x is not None and x == x
-    out: list[tuple] = []
+    winner, known, n = _longs(new["winner"]), _flags(new["known"]), _longs(new["n"])
+    digests = _matrix(new["digest"])
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bool]] = []
     stranger = np.ones(len(digests), bool)
-    for row in held.itertuples():
-        levels = np.frombuffer(row.levels, np.int64)
-        index = PerfectHash(levels, np.unpackbits(np.frombuffer(row.bits, np.uint8), count=int(levels.sum())).astype(bool))
-        slots_of = np.frombuffer(row.digests, np.uint8).reshape(-1, 32)
-        has, winners, counts = np.frombuffer(row.has, bool), np.frombuffer(row.winners, np.int64), np.frombuffer(row.counts, np.int64).copy()
-        stays = [int(w) if h else None for w, h in zip(winners, has, strict=True)]
+    for row in held.to_pylist():  # one
+        levels = np.frombuffer(row["levels"], np.int64)
+        index = PerfectHash(levels, np.unpackbits(np.frombuffer(row["bits"], np.uint8), count=int(levels.sum())).astype(bool))
+        slots_of = np.frombuffer(row["digests"], np.uint8).reshape(-1, 32)
+        stays, has, counts = np.frombuffer(row["winners"], np.int64).copy(), np.frombuffer(row["has"], bool).copy(), np.frombuffer(row["counts"], np.int64).copy()
         slot = index.slots(digests)
         member = slot >= 0
         member[member] = (slots_of[slot[member]] == digests[member]).all(axis=1)
         stranger &= ~member
-        for i in np.flatnonzero(member):
-            s = slot[i]
-            counts[s] += n[i]
-            if known(winner[i]):
-                stays[s] = int(winner[i]) if stays[s] is None else max(stays[s], int(winner[i]))
-        out += zip((x.tobytes() for x in slots_of), stays, counts.tolist(), [True] * len(stays), strict=True)
-    out += [(digests[i].tobytes(), int(winner[i]) if known(winner[i]) else None, int(n[i]), False) for i in np.flatnonzero(stranger)]
-    pdf = pd.DataFrame(out, columns=["digest", "keep_id", "group_size", "historical"])
-    return pdf.astype({"keep_id": "Int64"})
+        counts[slot[member]] += n[member]  # digests are distinct, so slots are
+        better = member & known
+        better[better] = ~has[slot[better]] | (winner[better] > stays[slot[better]])
+        stays[slot[better]], has[slot[better]] = winner[better], True
+        found.append((slots_of, stays, has, counts, True))
+    found.append((digests[stranger], winner[stranger], known[stranger], n[stranger], False))
+    slots, keep, has, counts = (np.concatenate([f[k] for f in found]) for k in range(4))
+    old = np.concatenate([np.full(len(f[0]), f[4]) for f in found])
+    return pa.Table.from_arrays([pa.array([x.tobytes() for x in slots], pa.binary()), pa.array(keep, pa.int64(), mask=~has), pa.array(counts, pa.int64()), pa.array(old)], ["digest", "keep_id", "group_size", "historical"])
 
 
 def _with_shard(df: DataFrame, shards: int) -> DataFrame:
@@ -125,26 +130,29 @@ def _with_shard(df: DataFrame, shards: int) -> DataFrame:
 
 def digests(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, digest) of every row: SHA-256 of the whole text in UTF-8."""
+    ship(docs.sparkSession)
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.unhex(F.sha2(text_of(text), 256)).alias("digest"))
 
 
 def distinct_digests(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("digest").agg(F.max("doc_id").alias("winner"), F.count(F.lit(1)).alias("n"))
+    """(digest, winner, known, n): known tells whether there is a winner."""
+    grouped = rows.groupBy("digest").agg(F.max("doc_id").alias("winner"), F.count(F.lit(1)).alias("n"))
+    return grouped.select("digest", F.coalesce("winner", F.lit(0)).alias("winner"), F.col("winner").isNotNull().alias("known"), "n")
 
 
 def build_index(history: DataFrame, shards: int) -> DataFrame:
     """One row per shard of the registry, from rows of digests()."""
-    return _with_shard(distinct_digests(history), shards).groupBy("shard").applyInPandas(_build, _INDEX)
+    return _with_shard(distinct_digests(history), shards).groupBy("shard").applyInArrow(_build, _INDEX)
 
 
 def groups(arriving: DataFrame, index: DataFrame, shards: int) -> DataFrame:
     """(digest, keep_id, group_size, historical) of all digests, those of the index and those of rows of digests() that arrive."""
     new = _with_shard(distinct_digests(arriving), shards)
-    return new.groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(_look_up, _GROUPS)
+    return new.groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(_look_up, _GROUPS)
 
 
 def _resolve(rows: DataFrame, history: DataFrame, arriving: DataFrame) -> DataFrame:
-    shards = max(1, -(-history.count() // SHARD_DIGESTS))
+    shards = max(1, -(-(history.count() + arriving.count()) // SHARD_DIGESTS))
     return groups(arriving, build_index(history, shards), shards)
 
 

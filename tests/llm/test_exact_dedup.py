@@ -41,6 +41,23 @@ def test_members_and_strangers_of_the_registry(docs, spark):
     assert got == {(9, 3, True), (3, 1, True), (5, 2, False)}
 
 
+def test_ids_beyond_floats_beside_null_ids(docs, spark):
+    big = 1 << 60
+    rows = [(big + k, f"t{k // 2}") for k in range(23)] + [(None, "none"), (None, None)]
+    assert sorted(map(tuple, D.exact_dedup(docs(*rows)).drop("historical").collect()), key=repr) == brute(rows)
+    assert sorted((r.doc_id for r in D.drop_copies(docs(*rows)).collect()), key=repr) == sorted([big + k for k in range(23) if k % 2 or k == 22] + [None, None], key=repr)
+    new, none = D.digests(docs(*rows)), D.digests(docs())
+    for history, arriving in ((none, new), (new, none), (new.filter("doc_id IS NULL"), new.filter("doc_id IS NOT NULL"))):
+        got = {(r.keep_id, r.group_size) for r in D.groups(arriving, D.build_index(history, 3), 3).collect()}
+        assert got == {(b, n) for _, b, n, _, _ in brute(rows)}
+
+
+def test_shards_follow_both_sides(docs, monkeypatch):
+    monkeypatch.setattr(D, "SHARD_DIGESTS", 2)
+    rows = [(k, f"t{k // 3}") for k in range(40)]
+    assert sorted(map(tuple, D.exact_dedup(docs(*rows)).drop("historical").collect()), key=repr) == brute(rows)
+
+
 def test_empty(docs):
     assert D.exact_dedup(docs()).count() == 0 and D.drop_copies(docs()).count() == 0
 
