@@ -1,47 +1,56 @@
-"""N-gram Jaccard join: MinHash banding finds candidates, full shingle sets decide.
+"""N-gram Jaccard join: MinHash banding finds candidates, signatures thin them out, full shingle sets decide.
 
 1. Each text gets a MinHash signature over its 5-word shingles, cut into bands. The number of bands and the rows of a band are the
    sharpest that reach RECALL at the wanted similarity (choose_bands). Equal texts are one node from here on.
-2. Nodes meet by shuffling on band hashes. A bucket ties its members to its least one: a star, not all pairs. The stars'
-   connected components hold every candidate pair.
-3. Each component's texts are verified pair by pair on their full shingle sets. A component of more than BLOCK texts is cut into blocks by
-   hash, and each pair of blocks is a group of its own, so that no task holds more than two blocks. A group
-   emits a row per text: how many texts it is linked with, and the least text of its linked part; pairs are not
-   emitted. A component of one block is thereby resolved; those of more are joined by a second run of components.
+2. Nodes meet by shuffling on band hashes. Within a bucket, cut into blocks if it is large, nodes are compared by a byte of each of
+   their MinHash values, those of all bands: a pair goes on if as many agree as all but MISS of the pairs of the wanted similarity show. A
+   group of a bucket emits the edges of a spanning forest, not its pairs. So texts that share a band by chance, or a template that
+   makes up half of them, are not chained together.
+3. The connected components of these edges hold every pair that went on. Each component's texts are verified pair by pair on their full
+   shingle sets. A large component is cut into blocks by hash, and each pair of blocks is a group of its own, so that no task holds more
+   than two blocks. A group emits a row per text: how many texts it is linked with, and the least text of its linked part; pairs are not
+   emitted. A component of one block is thereby resolved; those of more are joined by a second run of components, over
+   verified links only.
 
 Words are runs of characters that are not white space (space and 9 to 13), as written. Texts of 1 to 4 words have one
 shingle of all words. Shingles are told apart by 64-bit hashes. Two texts are linked if the Jaccard similarity
 of their sets is 0.8 or more, reckoned in whole numbers.
 
-Scale: what is shuffled for every text is its signature (160 bytes) and, once, the text itself, which meets the list of those
-in components. Hot bands are counted before they are joined, as partial minima; hot texts are one node. All joins are equi-joins that
-adaptive execution can split. Nothing is collected and nothing broadcast by hand. Verification of a component with m texts takes m * m / 2
-comparisons, dealt over (m / BLOCK)^2 / 2 groups; there is no cap on partners.
+Scale: what is shuffled for every text is its bands (8 bytes each), its signature (a byte for each hash) and, once, the text itself, which meets the
+list of those in components. Hot bands are counted before they are joined, as partial minima; hot texts are one node. All joins are equi-joins that
+adaptive execution can split. Nothing is collected and nothing broadcast by hand. A block has at most BLOCK texts and, but for single texts that are longer,
+about BLOCK_BYTES. Verification of a component with m texts takes m * m / 2 comparisons, dealt over the pairs of its blocks; there is no cap on partners.
 
 Defined cases: a null text is empty; texts without words are linked with nothing, but equal ones share a class. A null doc_id is the least of a
 class only if all are null. Repeated rows are copies of each other. Ties do not arise: the least doc_id names a class. Other columns are ignored by
-the join and pass through keep_one. Empty tables give empty results.
+the join and pass through keep_one. Very long texts are read whole. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import HASH_ROWS, cut, flat_bytes, fresh, mix, one_each, shingle_hashes, table, text_of, word_hashes
+from .common import HASH_ROWS, cut, flat_bytes, fresh, mix, one_each, shingle_hashes, ship, table, text_of, word_hashes
 from .graph import components
 
 NGRAM = 5
 SIMILARITY = Fraction(4, 5)
 RECALL = 0.9995
-MAX_HASHES = 128
-#: Texts of a block.
+MAX_HASHES = 160
+#: The share of pairs of the wanted similarity that the comparison of signatures may miss.
+MISS = 1e-4
+#: Texts of a block, and about how many bytes of text. Nodes of a block of a bucket.
 BLOCK = 256
+BLOCK_BYTES = 8 << 20
+BUCKET = 512
 #: Shingles that are hashed at a time.
 CHUNK = 1 << 17
 
@@ -56,18 +65,30 @@ def choose_bands(similarity: float = float(SIMILARITY), recall: float = RECALL,
     return best
 
 
+def least_agreement(hashes: int, similarity: float = float(SIMILARITY), miss: float = MISS) -> int:
+    """How many of so many bytes of a signature must agree: the most that all but a share of miss of the pairs of the similarity reach. Bytes of unlike shingles agree by chance once in 256 times."""
+    p = similarity + (1 - similarity) / 256
+    below = 0.0
+    for k in range(hashes + 1):
+        below += math.comb(hashes, k) * p**k * (1 - p) ** (hashes - k)
+        if below > miss:
+            return k
+    return hashes
+
+
 def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
     seeds = mix(np.arange(1, 2 * n + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
     return seeds[:n] | np.uint64(1), seeds[n:]
 
 
-def signatures(texts: pa.Array, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """(shingles of each text, its band hashes); a text without words has none, its hashes mean nothing."""
+def signatures(texts: pa.Array, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(shingles of each text, its band hashes, a byte of each MinHash); a text without words has none, its hashes mean nothing."""
     flat, starts = flat_bytes(texts)
     shingles, at = shingle_hashes(*word_hashes(flat, starts), NGRAM)
     counts = np.diff(at)
     a, b = _coefficients(bands * rows)
     out = np.zeros((len(counts), bands), np.uint64)
+    low = np.zeros((len(counts), bands * rows), np.uint8)
     some = np.flatnonzero(counts)
     k = 0
     while k < len(some):
@@ -79,10 +100,12 @@ def signatures(texts: pa.Array, bands: int, rows: int) -> tuple[np.ndarray, np.n
         for band in range(bands):
             h = np.full(len(part), band + 1, np.uint64)
             for r in range(band * rows, (band + 1) * rows):
-                h = mix(h ^ np.minimum.reduceat(x * a[r] + b[r], cuts))
+                least = np.minimum.reduceat(x * a[r] + b[r], cuts)
+                h = mix(h ^ least)
+                low[part, r] = mix(least).astype(np.uint8)
             out[part, band] = h
         k = j
-    return counts, out
+    return counts, out, low
 
 
 def _sign(bands: int, rows: int):
@@ -90,10 +113,11 @@ def _sign(bands: int, rows: int):
         for batch in batches:
             for k in range(0, batch.num_rows, HASH_ROWS):
                 part = batch.slice(k, HASH_ROWS)
-                counts, hashes = signatures(part.column(2), bands, rows)
+                counts, hashes, low = signatures(part.column(2), bands, rows)
+                sizes = pc.binary_length(part.column(2)).cast(pa.int64())
                 offsets = np.concatenate([[0], np.cumsum(np.where(counts > 0, bands, 0))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes[counts > 0].ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists], ["doc_id", "tkey", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists, pa.array([x.tobytes() for x in low], pa.binary()), sizes], ["doc_id", "tkey", "bands", "low", "size"])
 
     return run
 
@@ -107,6 +131,49 @@ def _node(tkey: str) -> Column:
     return F.xxhash64(tkey)
 
 
+def _alike(hashes: int):
+    """Edges of a spanning forest over each group's nodes whose signatures agree enough: (a, b), b the greater. A group is a block of a bucket, or two, of which only pairs across count."""
+    least = least_agreement(hashes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = [], []
+
+        def edges() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+        for group in _groups(batches, 3):
+            node, at = np.unique(group.column("node").to_numpy(), return_index=True)
+            if len(node) < 2:
+                continue
+            block = group.column("block").to_numpy()[at]
+            low = np.frombuffer(b"".join(group.column("low").take(at).to_pylist()), np.uint8).reshape(len(node), hashes)
+            agree = np.empty((len(node), len(node)), bool)
+            for k in range(0, len(node), 64):
+                agree[k : k + 64] = (low[k : k + 64, None, :] == low[None, :, :]).sum(axis=2, dtype=np.int16) >= least
+            np.fill_diagonal(agree, False)
+            if group.column("lo")[0].as_py() != group.column("hi")[0].as_py():
+                agree &= block[:, None] != block[None, :]
+            part = _parts(agree)
+            own = np.flatnonzero(part != np.arange(len(node)))
+            if len(own):
+                a.append(node[part[own]])
+                b.append(node[own])
+            if sum(map(len, a)) > CHUNK:
+                yield edges()
+                a, b = [], []
+        if a:
+            yield edges()
+
+    return run
+
+
+def _in_blocks(members: DataFrame, key: str) -> DataFrame:
+    """members, whose blocks column says into how many their key's group is cut, once for each pair of blocks that their own is part of: key, lo, hi, block and all else."""
+    paired = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    paired = paired.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}).drop("other")
+    return paired.repartition(key, "lo", "hi").sortWithinPartitions(key, "lo", "hi")
+
+
 def linked(texts: pa.Array, first: np.ndarray, cross: bool, similarity: Fraction = SIMILARITY) -> np.ndarray:
     """Which pairs of texts are linked, as a square matrix; of two blocks (first tells which) only pairs across."""
     flat, starts = flat_bytes(texts)
@@ -189,32 +256,36 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """(rows, nodes): doc_id and tkey of every row; tkey, class_id, n_links and n_copies of every distinct text."""
+    ship(docs.sparkSession)
     bands, band_rows = choose_bands()
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
     rows = rows.select("doc_id", _tkey(F.col("text")).alias("tkey"), "text")
-    signed = cut(rows.mapInArrow(_sign(bands, band_rows), "doc_id long, tkey binary, bands array<long>"))
-    nodes = signed.groupBy("tkey").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_copies"), F.first("bands").alias("bands"))
-    names = nodes.select("tkey", "rep", "n_copies")
-
-    met = nodes.select(_node("tkey").alias("node"), F.explode("bands").alias("h"))
-    least = met.groupBy("h").agg(F.min("node").alias("lead"), F.max("node").alias("other")).filter("lead <> other").select("h", "lead")
-    stars = met.join(least, "h").select(F.col("lead").alias("a"), F.col("node").alias("b"))
-    parts = cut(components(stars))
-    sizes = parts.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    members = names.withColumn("node", _node("tkey")).join(parts, "node").join(sizes, "root")
-    members = members.select("tkey", "rep", "root", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    signed = cut(rows.mapInArrow(_sign(bands, band_rows), "doc_id long, tkey binary, bands array<long>, low binary, size long"))
+    nodes = signed.groupBy("tkey").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_copies"))
+    texts = signed.dropDuplicates(["tkey"]).withColumn("node", _node("tkey"))
+
+    met = signed.select(_node("tkey").alias("node"), F.explode("bands").alias("h"))
+    shared = met.groupBy("h").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least <> most").select("h")
+    met = cut(met.join(shared, "h").distinct())
+    filled = met.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / BUCKET).cast("int").alias("blocks"))
+    low = met.select("node").distinct().join(texts.select("node", "low"), "node")
+    held = met.join(filled, "h").join(low, "node").withColumn("block", F.pmod(F.xxhash64(F.lit(3), "node"), F.col("blocks")).cast("int"))
+    dealt = _in_blocks(held, "h").select("h", "lo", "hi", "block", "node", "low")
+    parts = cut(components(dealt.mapInArrow(_alike(bands * band_rows), "a long, b long")))
+
+    own = texts.select("tkey", "node", "size").join(parts, "node")
+    sizes = own.groupBy("root").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    members = own.join(sizes, "root").join(nodes, "tkey").select("tkey", "rep", "root", F.greatest("blocks", F.lit(1)).alias("blocks"))
 
     found = rows.join(members, "tkey").filter(F.col("doc_id").eqNullSafe(F.col("rep")))
     found = found.withColumn("block", F.pmod(F.xxhash64(F.lit(7), "tkey"), F.col("blocks")).cast("int"))
-    paired = found.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    paired = paired.select("root", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "blocks", "tkey", "text")
-    dealt = paired.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi")
+    dealt = _in_blocks(found.select("root", "block", "blocks", "tkey", "text"), "root").select("root", "lo", "hi", "block", "blocks", "tkey", "text")
     links = cut(dealt.mapInArrow(_verify, "tkey binary, low binary, n_links long, open boolean"))
 
     closed = links.filter("not open").select("tkey", F.col("low").alias("top"))
     across = components(links.filter("open").select(F.col("tkey").alias("a"), F.col("low").alias("b"))).select(F.col("node").alias("tkey"), F.col("root").alias("top"))
     total = links.groupBy("tkey").agg(F.sum("n_links").alias("n_links"))
-    tops = names.join(closed.union(across), "tkey", "left").join(total, "tkey", "left")
+    tops = nodes.join(closed.union(across), "tkey", "left").join(total, "tkey", "left")
     tops = tops.select("tkey", "rep", "n_copies", F.coalesce("top", "tkey").alias("top"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     named = tops.groupBy("top").agg(F.min("rep").alias("class_id"))
     return signed.select("doc_id", "tkey"), tops.join(named, "top").select("tkey", "class_id", "n_links", "n_copies", "top")
@@ -243,3 +314,21 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
 
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
+#: Every pair of texts that share a shingle, and the closure of the links among them. \x20 and \x09-\x0D part words.
+OP7_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+t AS (SELECT text, min(doc_id) AS rep, count(*) AS n_copies FROM d GROUP BY text),
+w AS (SELECT row_number() OVER (ORDER BY text) AS k, *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM t),
+s AS (SELECT k, unnest(list_distinct(list_transform(range(1, greatest(len(ws) - 4, 1) + 1), lambda i: array_to_string(ws[i:i + 4], ' ')))) AS g FROM w WHERE len(ws) > 0),
+n AS (SELECT k, count(*) AS n FROM s GROUP BY k),
+both_ AS (SELECT a.k AS x, b.k AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.k < b.k GROUP BY a.k, b.k),
+l AS (SELECT x, y FROM both_ JOIN n p ON p.k = x JOIN n q ON q.k = y WHERE 5 * c >= 4 * (p.n + q.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+reach AS (SELECT DISTINCT x AS k, x AS top FROM e UNION SELECT e.y, reach.top FROM reach JOIN e ON e.x = reach.k),
+c AS (SELECT reach.k, min(w.rep) AS class_id FROM reach JOIN w ON w.k = reach.top GROUP BY reach.k),
+m AS (SELECT x AS k, count(*) AS n_links FROM e GROUP BY x)
+SELECT d.doc_id, CASE WHEN c.k IS NULL THEN w.rep ELSE c.class_id END AS class_id, coalesce(m.n_links, 0) AS n_links, w.n_copies
+FROM d JOIN w USING (text) LEFT JOIN c ON c.k = w.k LEFT JOIN m ON m.k = w.k
+"""

@@ -16,4 +16,4 @@ QUERIES = {
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_quality": quality.op10_quality,
 }
-SQL = {"op2_warc": warc.OP2_SQL, "op9_exact_dedup": exact_dedup.OP9_SQL, "op10_quality": quality.OP10_SQL}
+SQL = {"op2_warc": warc.OP2_SQL, "op7_jaccard": jaccard.OP7_SQL, "op9_exact_dedup": exact_dedup.OP9_SQL, "op10_quality": quality.OP10_SQL}

@@ -81,9 +81,16 @@ def test_signatures_estimate_similarity():
     rng = random.Random(2)
     a = [f"w{rng.randrange(9999)}" for _ in range(400)]
     b = a[:200] + [f"v{k}" for k in range(200)]
-    _, h = J.signatures(pa.array([" ".join(a), " ".join(b), ""]), 100, 1)
+    _, h, low = J.signatures(pa.array([" ".join(a), " ".join(b), ""]), 100, 1)
     true = len(shingles(" ".join(a)) & shingles(" ".join(b))) / len(shingles(" ".join(a)) | shingles(" ".join(b)))
-    assert abs((h[0] == h[1]).mean() - true) < 0.2
+    assert abs((h[0] == h[1]).mean() - true) < 0.2 and abs((low[0] == low[1]).mean() - true) < 0.2
+
+
+def test_agreement_asked_for_is_that_of_the_binomial_law():
+    k = J.least_agreement(150, 0.8, 1e-3)
+    rng = np.random.default_rng(1)
+    drawn = rng.binomial(150, 0.8 + 0.2 / 256, 200_000)
+    assert (drawn < k).mean() <= 1.2e-3 and (drawn < k + 2).mean() > 1e-3
 
 
 def test_against_brute_force(docs, with_clashes):
@@ -96,10 +103,28 @@ def test_against_brute_force(docs, with_clashes):
 
 def test_large_classes_in_blocks(docs, monkeypatch):
     monkeypatch.setattr(J, "BLOCK", 8)
+    monkeypatch.setattr(J, "BUCKET", 5)
     rows = corpus(random.Random(11), 2, 45)
     assert sorted(map(tuple, J.jaccard_classes(docs(*rows)).collect())) == brute(rows)
 
 
+def test_blocks_are_bounded_by_bytes(docs, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK_BYTES", 5000)
+    rows = corpus(random.Random(12), 2, 20)
+    assert sorted(map(tuple, J.jaccard_classes(docs(*rows)).collect())) == brute(rows)
+
+
+def test_long_texts_and_templates(docs):
+    """Long texts are read whole; texts that share half of their words are in no class, however many there are."""
+    rng = random.Random(13)
+    long = [f"w{rng.randrange(10**6)}" for _ in range(60_000)]
+    rows = [(1, " ".join(long)), (2, " ".join(["new", *long[1:]])), (3, " ".join([*long[:30_000], *long[:30_000]]))]
+    template = [f"t{k}" for k in range(60)]
+    rows += [(100 + k, " ".join([*template, *(f"own{k}_{j}" for j in range(60))])) for k in range(80)]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in J.jaccard_classes(docs(*rows)).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (3, 0), **{100 + k: (100 + k, 0) for k in range(80)}}
+
+
 def test_block_pairs_are_whole():
     texts = pa.array(["a b c d e f g h i j k l m n o p q r s t"] * 3)
     own = J.linked(texts, np.array([0, 0, 1]), False)
@@ -139,3 +164,12 @@ def test_components(spark, chain):
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(chain), 0), 1000: 1000, 1001: 1000, 1002: 1000}
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_query_against_sql(spark):
+    import duckdb
+
+    c = duckdb.connect()
+    c.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
+    want = c.execute(J.OP7_SQL).fetchall()
+    assert sorted(map(tuple, J.op7_jaccard(spark, "/root/testdata/sf0.001").select("doc_id", "class_id", "n_links", "n_copies").collect())) == sorted(want)
