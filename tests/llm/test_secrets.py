@@ -1,8 +1,12 @@
 import hashlib
+import itertools
+import math
 import random
 import re
+import time
 
 import numpy as np
+import pyarrow as pa
 
 from aerolith.llm import secrets as S
 
@@ -47,7 +51,7 @@ def test_held_out_accuracy():
         if len(w) >= S.MIN_TOKEN:
             words.append(w)
     words += ["a" * 40, "0" * 40, "0123456789abcdef" * 3, "abcdefghijklmnopqrstuvwxyz" * 2]
-    p, ok = S.battery(randoms + words)
+    p, ok = S.of_tokens(randoms + words)
     counts = np.zeros((len(S.LENGTHS), S.CELLS), np.int64)
     classes = S._length_class(np.array([len(t) for t in randoms + words]))
     np.add.at(counts, (classes, S._cells(p)), 1)
@@ -56,11 +60,123 @@ def test_held_out_accuracy():
     assert found >= 0.93 * len(randoms) and wrong <= S.FDR * (found + wrong)
 
 
+def plain_battery(token, ordinary):
+    """The same three tests for one token, by their definitions."""
+    up = lambda z: math.erfc(z / math.sqrt(2)) / 2
+    fisher = lambda *p: (lambda x: min(1.0, math.exp(-x) * (1 + x + x * x / 2)))(-sum(math.log(min(max(v, 1e-300), 1)) for v in p))
+    fitting = [(k, a) for k, a in enumerate(S.ENCODINGS.values()) if set(token) <= set(a)]
+    if not fitting or token.isdigit():
+        return 1.0, False
+    k, alphabet = fitting[0]
+    far, turn_mean, turn_spread, correlated = ordinary[k]
+    v, n, size = [alphabet.index(c) for c in token], len(token), len(alphabet)
+    chi = sum((v.count(x) - n / size) ** 2 / (n / size) for x in range(size))
+    free = size - 1
+    z = (np.cbrt(chi / free) - (1 - 2 / (9 * free))) / math.sqrt(2 / (9 * free))
+    high = [2 * x >= size for x in v]
+    h, w = sum(high), n - sum(high)
+    runs = 1 + sum(a != b for a, b in zip(high, high[1:], strict=False))
+    mean = 2 * h * w / n + 1
+    spread = math.sqrt(max((mean - 1) * (mean - 2) / (n - 1), 1e-9))
+    zr = abs(runs - mean) / spread
+    mid = sum(v) / n
+    power = sum((x - mid) ** 2 for x in v)
+    zs = abs(sum((a - mid) * (b - mid) for a, b in zip(v, v[1:], strict=False)) / max(power, 1e-9) + 1 / n) * math.sqrt(n)
+    within = lambda z, m, s: up((-z - m) / s) - up((z - m) / s)
+    p = fisher(2 * min(up(z), up(-z)), 2 * up(zr) if h and w else 2.0 ** (1 - n), 2 * up(zs) if power else 0.0)
+    t = fisher(up(-(chi - free - n * far) / math.sqrt(2 * free + 4 * n * far)), within(zr + 0.5 / spread, turn_mean * math.sqrt(n), turn_spread) if h and w else 1.0, within(zs, correlated * math.sqrt(n), 1.0) if power else 1.0)
+    return t, p >= S.REJECT
+
+
+def plain_windows(texts):
+    for t in texts:
+        words = [w for w in re.findall(r"[A-Za-z0-9+/_-]+", t) if len(w) < S.MIN_TOKEN]
+        glued, capital = "".join(words), "".join(w[0].upper() + w[1:] for w in words)
+        at = 0
+        for k in itertools.count():
+            n = S.LENGTHS[k % len(S.LENGTHS)]
+            if at + n > len(glued):
+                break
+            yield (capital if (k + k // len(S.LENGTHS)) % 2 else glued)[at : at + n]
+            at += n
+
+
+def plain_neighbours(texts):
+    table = np.zeros((128, 128), np.int64)
+    for t in texts:
+        for w in re.findall(r"[A-Za-z0-9+/_-]+", t):
+            if len(w) < S.MIN_TOKEN:
+                for a, b in zip(w, w[1:], strict=False):
+                    table[ord(a), ord(b)] += 1
+    return table
+
+
+def test_spans_of_the_method_by_brute_force(docs, small):
+    """Neighbours, battery, step-up rule and spans by plain loops over all texts."""
+    rng = random.Random(12)
+    alphabets = list(S.ENCODINGS.values())
+    texts = [t or "" for _, t, _, _ in small] + ["".join(rng.choices(rng.choice(alphabets), k=rng.randint(20, 90))) + " and password=" + "".join(rng.choices(alphabets[7], k=30)) for _ in range(60)]
+    texts += ["get" + "Value" * 8, "x" * 30 + "/" + "y" * 30, "123456789012345678901234567890"]
+    ordinary = S.fitted(plain_neighbours(texts))
+    assert (ordinary != S.ASSUMED).any() and (S.neighbours(pa.array(texts)) == plain_neighbours(texts)).all()
+    candidates = [(i, m.start(), m.end(), *plain_battery(m[0], ordinary)) for i, t in enumerate(texts) for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", t)]
+    edge = lambda p: 10.0 ** (-int(S._cells(np.array([p]))[0]) / S.PER_DECADE)
+    want = {i: [f"{S.KINDS[k]}:{a}:{b}" for a, k, b in base(t)] for i, t in enumerate(texts)}
+    plain = [(len(w), edge(plain_battery(w, ordinary)[0])) for w in plain_windows(texts)]
+    n_random = 0
+    for low, high in zip(S.LENGTHS, [*S.LENGTHS[1:], 10**9], strict=True):
+        own = [c for c in candidates if low <= c[2] - c[1] < high]
+        null = [p for n, p in plain if low <= n < high]
+        ranked = sorted(edge(c[3]) for c in own)
+        limit = max((p for p in ranked if max(p, sum(x <= p for x in null) / len(null)) * len(own) <= S.FDR * sum(x <= p for x in ranked)), default=-1.0)
+        for i, a, b, p, fits in own:
+            if fits and edge(p) <= limit and not any(x <= a and b <= y for x, _, y in base(texts[i])):
+                want[i].append(f"random:{a}:{b}")
+                n_random += 1
+    order = lambda x: (int(x.split(":")[1]), S.KINDS.index(x.split(":")[0]), int(x.split(":")[2]))
+    got = {r.doc_id: r.spans for r in S.scan_digests(docs(*enumerate(texts))).collect()}
+    assert got == {i: ",".join(sorted(x, key=order)) for i, x in want.items()} and n_random > 10
+
+
+def test_time_and_memory_grow_with_the_text():
+    """40,000 tokens that pass, each in a base span of its own or not: no pair of them is compared."""
+    rng = random.Random(2)
+    letters = S.ENCODINGS["base62"]
+    text = " ".join(("secret=" if k % 2 else "") + "".join(rng.choices(letters, k=40)) for k in range(40_000))
+    began = time.time()
+    (spans,) = S._spans(pa.array([text]), S.ASSUMED, [0] * len(S.LENGTHS))
+    assert time.time() - began < 20 and sum(s[1] == 0 for s in spans) == 20_000 and 19_000 < sum(s[1] == 3 for s in spans) <= 20_000
+
+
+def test_false_discoveries_on_held_out_text(small):
+    """Ordinary text is learnt from one half of the documents; words of the other half, glued, and random tokens are told apart."""
+    rng = random.Random(8)
+    learnt = pa.array([t or "" for i, t, _, _ in small if i % 2])
+    ordinary = S.fitted(S.neighbours(learnt))
+    null = np.zeros((len(S.LENGTHS), S.CELLS), np.int64)
+    for chars, sizes in S.windows(learnt):
+        np.add.at(null, (S._length_class(sizes), S._cells(S.battery(chars, sizes, ordinary)[0])), 1)
+    words = [w for i, t, _, _ in small if not i % 2 for w in re.findall(r"[A-Za-z]+", t or "")]
+    glued = []
+    while len(glued) < 2000:
+        n = rng.choice(S.LENGTHS[:7])
+        glued.append("".join(rng.choice([str.lower, str.title])(w) for w in rng.choices(words, k=n))[:n])
+    secret = ["".join(rng.choices(S.ENCODINGS["base62"], k=rng.choice([40, 48, 64]))) for _ in range(200)]
+    p, fits = S.of_tokens(glued + secret, ordinary)
+    classes = S._length_class(np.array([len(t) for t in glued + secret]))
+    counts = np.zeros((len(S.LENGTHS), S.CELLS), np.int64)
+    np.add.at(counts, (classes, S._cells(p)), 1)
+    said = fits & (S._cells(p) >= np.array(S.step_up(counts, null))[classes])
+    wrong, found = said[:2000].sum(), said[2000:].sum()
+    print("false discoveries", wrong, "of", wrong + found, "; found", found, "of 200")
+    assert found >= 190 and wrong <= 2 * S.FDR * (wrong + found)
+
+
 def test_step_up_is_that_of_benjamini_and_hochberg():
     p = np.array([1e-8, 1e-4, 0.003, 0.02, 0.3, 0.9])
     counts = np.zeros((1, S.CELLS), np.int64)
     np.add.at(counts, (0, S._cells(p)), 1)
-    (cell,) = S.step_up(counts, 0.05)
+    (cell,) = S.step_up(counts, None, 0.05)
     ranked = [k + 1 for k, x in enumerate(sorted(p)) if x <= 0.05 * (k + 1) / len(p)]
     assert (S._cells(p) >= cell).sum() in (max(ranked), max(ranked) - 1)  # cells round p-values up
     assert S.step_up(np.zeros((2, S.CELLS), np.int64)).tolist() == [S.CELLS, S.CELLS]
