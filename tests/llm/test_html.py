@@ -4,6 +4,7 @@ import random
 import pytest
 
 from aerolith.llm import html_extract as H
+from aerolith.llm import html_pages
 
 
 def cost(labels, odds, links):
@@ -55,3 +56,56 @@ def test_operator(spark):
     rows = H.extract(df).collect()
     assert len(rows) == 3 and rows[0].text == rows[1].text and rows[0].n_chars == len(rows[0].text) and (rows[2].text, rows[2].n_chars) == ("", 0)
     assert H.extract(df.limit(0)).count() == 0
+
+
+def scores(seed, shapes):
+    n = cut = alone = changed = 0
+    for page, truth in html_pages.pages(seed, 240, shapes):
+        found = H.labelled(page)
+        assert [t for t, _, _ in found] == [t for t, _ in truth]
+        n += len(truth)
+        cut += sum(c == y for (_, c, _), (_, y) in zip(found, truth, strict=True))
+        alone += sum(c == y for (_, _, c), (_, y) in zip(found, truth, strict=True))
+        changed += sum(c != a for _, c, a in found)
+    return cut / n, alone / n, changed
+
+
+def test_held_out_accuracy_with_and_without_the_cut():
+    cut, alone, changed = scores(4711, None)
+    print(f"held out: with the cut {cut:.4f}, without {alone:.4f}, labels changed {changed}")
+    assert cut >= 0.99 and cut > alone + 0.002 and changed >= 30
+
+
+@pytest.mark.parametrize("shape", html_pages.SHAPES)
+def test_held_out_accuracy_of_each_shape(shape):
+    cut, alone, _ = scores(815, [shape])
+    assert cut >= 0.985 and cut >= alone
+
+
+INSIDE = "<nav><ul><li><a>Start</a></li><li><a>News</a></li></ul></nav><article>{}<p>A first paragraph of some length that says what the whole article is about.</p><p>And a second one, which goes on about it for a while.</p></article><footer>(c) some company</footer>"
+
+
+@pytest.mark.parametrize(
+    ("part", "text"),
+    [
+        ('<div class="entry-header"><h1>The headline</h1></div>', "The headline"),
+        ('<section class="side-effects"><p>Headache was seen in some of the patients who took it.</p></section>', "Headache was seen in some of the patients who took it."),
+        ('<div class="legal-history"><p>The law of 1901 was changed twice before it was repealed.</p></div>', "The law of 1901 was changed twice before it was repealed."),
+        ("<p>It follows that <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p>", "It follows that x=1 holds."),
+    ],
+)
+def test_names_inside_an_article_lose_nothing(part, text):
+    lines = H.main_text(INSIDE.format(part)).split("\n")
+    assert lines == [text, "A first paragraph of some length that says what the whole article is about.", "And a second one, which goes on about it for a while."]
+
+
+@pytest.mark.parametrize("wrapper", ['class="page has-sidebar"', 'id="search-results-layout" class="with-comments"', 'class="nav-open has-ads"'])
+def test_wrappers_say_nothing(wrapper):
+    page = f"<div {wrapper}>{INSIDE.format('<h1>Title</h1>')}</div>"
+    assert H.main_text(page).split("\n") == ["Title", "A first paragraph of some length that says what the whole article is about.", "And a second one, which goes on about it for a while."]
+
+
+def test_the_model_is_the_same_on_every_call():
+    first = H.model()
+    H.model.cache_clear()
+    assert H.model() == first
