@@ -1,4 +1,5 @@
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -66,6 +67,22 @@ def test_nulls_repeats_and_empty(docs):
     assert P.best_fit(docs()).count() == 0
 
 
+def test_repeated_rows_are_spread_and_fast(spark, monkeypatch):
+    """Copies of one row, and rows with neither id nor text: as many bins as rows, in shards of even size, in time that does not grow with the square."""
+    monkeypatch.setattr(P, "SHARD_DOCS", 500)
+    df = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"), F.lit("s").alias("source"))
+    df = df.unionAll(spark.range(3000).select(F.lit(7), F.lit("a b c"), F.lit("s"))).unionAll(spark.range(1000).select("id", F.concat(F.lit("x "), F.col("id").cast("string")), F.concat(F.lit("t"), F.col("id").cast("string"))))
+    rows = P.best_fit(df).collect()
+    assert len(rows) == 8000
+    shards = {}
+    for r in rows:
+        shards.setdefault(r.bin_id >> 32, []).append(r)
+    assert len(shards) == 16 and max(map(len, shards.values())) < 600
+    assert len({r.bin_id for r in rows if r.doc_id is None}) == 4000 and len({r.bin_id for r in rows if r.doc_id == 7 and r.n_tokens == 3}) == 3000
+    began = time.time()
+    assert len({r[4] for r in P.pack([(None, 0, None, 5)] * 20_000, 2048)}) == 20_000 and time.time() - began < 10
+
+
 def test_own_clusters_and_sizes(docs):
     df = docs(*[(k, "x", "en", f"s{k}") for k in range(4)])
     rows = P.best_fit(df, cluster=F.lit(None), size=F.lit(512)).collect()
