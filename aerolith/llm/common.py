@@ -58,6 +58,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df, computed once and kept in the shared folder as Parquet: for wide rows, which take less room so."""
+    at = work_dir(df.sparkSession, name)
+    df.write.parquet(at)
+    return df.sparkSession.read.parquet(at)
+
+
 def one_each(kept: DataFrame, group: str, repeated: str, columns: list[str]) -> DataFrame:
     """One row, of the given columns, of each group of kept. Only groups marked as repeated are grouped: of their rows the one with the least hash of its columns stays, chosen before the shuffle."""
     row = F.struct(*columns)

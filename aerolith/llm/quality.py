@@ -5,25 +5,20 @@ drawn from the sketches replace fixed cutoffs. The sketch is a logarithmic histo
 leading binary digits, so that a quantile is off by less than 1/128 of its value. Buckets are counted, and counts add up
 in any order: the sketch is the result of one aggregation with map-side partial sums, the same on every run.
 
-A measure's upper threshold is median + FENCE * (90th percentile - median), but not less than a floor of the measure, and
-likewise downwards for word length. A group in which nothing stands out loses nothing, however many rows it has. A
-group of fewer than MIN_GROUP rows takes the threshold of its language, and a language of fewer that of all rows.
-
-The 90th percentile is itself junk where more than a tenth of a group is. drop_low_quality, the pipeline's stage, therefore bounds the
-fence by what less than half of a group cannot move: the other half mirrored, median + FENCE * (median - 10th percentile), or
-twice the median if that is more (for word length downwards half the median, if that is less). The fence is never wider than without the
-bound, and the floors hold as before. op10_quality has no bound: its results are those of OP10_SQL, which has none.
-
-The floors are fixed rules. On groups whose quantiles lie close together they are what decides, and thresholds can only be looser than
-they are. The floor of repeats equals the base rule, so that this measure rejects no row.
-
-Scale: texts are not shuffled. They are read twice: once to fill the sketches, once to apply the thresholds, which costs a scan but no
-disk. Sketches shuffle (group, bucket, count) rows only; a hot source arrives as one row per bucket and task. The thresholds
+A measure is counted in thousandths of the words, the first FREE occurrences apart, which in a short text say nothing. Its upper threshold is the group's
+median, a fence above it and a MARGIN: the fence is FENCE times the distance to the 90th percentile, but no more than what less than half of a group cannot
+move, FENCE times the distance to the 10th percentile or, if that is more, the median itself. So junk in up to half of a group does not loosen the group's own threshold, and
+a group in which nothing stands out loses nothing, however many rows it has. Word length is held from both sides likewise, with an allowance NOISE / sqrt(words) for the chance in a short text's mean, and upwards one token of LONG_TOKEN characters. No threshold is
+a fixed cutoff: all follow the group's quantiles; the margins, far below any cutoff in use, are what two texts of one kind may differ by. A
+group of fewer than MIN_GROUP rows takes the quantiles of its language, and a language of fewer those of all rows.
+
+Scale: texts are not shuffled, and measured once: the measures are written to the shared folder (op10: they alone, some 60 bytes a row; the pipeline's stage: with the rows, as Parquet),
+and both the sketches and the verdicts read them there. Sketches shuffle (group, bucket, count) rows only; a hot source arrives as one row per bucket and task. The thresholds
 have a row for each (lang, source); they are broadcast if there are at most MAX_BROADCAST_GROUPS of them (counted first), else joined
 by shuffling the thresholds and the rows, whose hot keys adaptive execution splits.
 
-Defined cases: a null text has no words and fails the base rules, as has an empty one. Null lang or source is a group of
-its own. Repeated rows are measured and kept or dropped alike, and count each. Other columns pass through
+Defined cases: a null text has no words and fails the base rules, as has an empty one. A null lang or source counts as the empty one, and both are one
+group. Repeated rows are measured and kept or dropped alike, and count each. Other columns pass through
 untouched, also where their names are those of the measures. An empty table gives an empty result.
 """
 
@@ -32,14 +27,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, table, text_of
+from .common import cut, fresh, table, text_of, written
 
 FENCE = 6
 MIN_GROUP = 100
 MAX_BROADCAST_GROUPS = 100_000
-#: Measure: (numerator, least threshold), in thousandths of the words; word length is held from both sides.
-UPPER = {"symbols": ("n_symbols", 200), "dup_lines": ("n_dup_lines", 30), "repeats": ("n_repeat_words", 200), "length": ("word_chars", 12000)}
-LOWER = {"length": 2500}
+#: Measure: (numerator, occurrences that are free, margin above the fence in thousandths of the words); word length is held from both sides.
+UPPER = {"symbols": ("n_symbols", 3, 20), "dup_lines": ("n_dup_lines", 2, 10), "repeats": ("n_repeat_words", 10, 150), "length": ("word_chars", 0, 500)}
+LOWER = {"length": 500}
+#: Thousandths of a character by which the mean word length of a text may be off, times the root of its words.
+NOISE = 8000
+#: Characters of one long token, an address or a digest, that count for nothing upwards.
+LONG_TOKEN = 40
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -108,7 +107,7 @@ def measured(docs: DataFrame, text: str, names: dict[str, str]) -> DataFrame:
 def _rates(names: dict[str, str]) -> dict[str, Column]:
     """Thousandths of the words, as whole numbers."""
     per = F.greatest(F.col(names["n_words"]), F.lit(1))
-    return {k: F.floor(F.col(names[numerator]) * 1000 / per).cast("long") for k, (numerator, _) in UPPER.items()}
+    return {k: F.floor(F.greatest(F.col(names[numerator]) - free, F.lit(0)) * 1000 / per).cast("long") for k, (numerator, free, _) in UPPER.items()}
 
 
 def base_failed(names: dict[str, str]) -> Column:
@@ -118,8 +117,7 @@ def base_failed(names: dict[str, str]) -> Column:
 def sketch(rows: DataFrame, names: dict[str, str], lang: str, source: str) -> DataFrame:
     """(lang, source, kind, bucket, n) over rows that pass the base rules: the mergeable sketch of every group."""
     rates = F.array(*[F.struct(F.lit(k).alias("kind"), bucket(v).alias("bucket")) for k, v in _rates(names).items()])
-    rates = F.when(~base_failed(names), rates).otherwise(F.slice(rates, 1, 0))  # not a filter, which would be pushed down and measure every text twice
-    flat = rows.select(F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.coalesce(F.col(source), F.lit("")).alias("source"), F.inline(rates))
+    flat = rows.filter(~base_failed(names)).select(F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.coalesce(F.col(source), F.lit("")).alias("source"), F.inline(rates))
     return flat.groupBy("lang", "source", "kind", "bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -140,30 +138,28 @@ def _quantiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
     return lists.select(*keys, "kind", "n", reach(10).alias("lo"), reach(50).alias("mid"), reach(90).alias("hi"))
 
 
-def thresholds(sketches: DataFrame, bounded: bool = False) -> DataFrame:
-    """(lang, source, max_<kind>.., min_length): one row per group of the sketches; bounded: by what less than half of a group cannot move."""
+def thresholds(sketches: DataFrame) -> DataFrame:
+    """(lang, source, max_<kind>.., min_length): one row per group of the sketches."""
     own = _quantiles(sketches, ["lang", "source"])
     by_lang = _quantiles(sketches, ["lang"]).select("lang", "kind", *[F.col(c).alias(f"l_{c}") for c in ("n", "lo", "mid", "hi")])
     of_all = _quantiles(sketches, []).select("kind", *[F.col(c).alias(f"a_{c}") for c in ("n", "lo", "mid", "hi")])
     rows = own.join(by_lang, ["lang", "kind"], "left").join(F.broadcast(of_all), "kind", "left")  # of_all: a row per kind
     for c in ("lo", "mid", "hi"):
         rows = rows.withColumn(f"use_{c}", F.when(F.col("n") >= MIN_GROUP, F.col(c)).when(F.col("l_n") >= MIN_GROUP, F.col(f"l_{c}")).otherwise(F.col(f"a_{c}")))
-    upper = F.col("use_mid") + FENCE * (F.col("use_hi") - F.col("use_mid"))
-    lower = F.col("use_mid") - FENCE * (F.col("use_mid") - F.col("use_lo"))
-    if bounded:
-        mirrored, downwards = 2 * F.col("use_mid") - lower, 2 * F.col("use_mid") - upper
-        upper, lower = F.least(upper, F.greatest(mirrored, 2 * F.col("use_mid"))), F.greatest(lower, F.least(downwards, F.floor(F.col("use_mid") / 2)))
-    aggs = [F.max(F.when(F.col("kind") == k, F.greatest(upper, F.lit(floor)))).alias(f"max_{k}") for k, (_, floor) in UPPER.items()]
-    aggs += [F.max(F.when(F.col("kind") == k, F.least(lower, F.lit(most)))).alias(f"min_{k}") for k, most in LOWER.items()]
+    mid, above, below = F.col("use_mid"), FENCE * (F.col("use_hi") - F.col("use_mid")), FENCE * (F.col("use_mid") - F.col("use_lo"))
+    upper, lower = mid + F.least(above, F.greatest(below, mid)), mid - F.least(below, F.greatest(above, F.floor(mid / 2)))
+    aggs = [F.max(F.when(F.col("kind") == k, upper + margin)).alias(f"max_{k}") for k, (_, _, margin) in UPPER.items()]
+    aggs += [F.max(F.when(F.col("kind") == k, lower - margin)).alias(f"min_{k}") for k, margin in LOWER.items()]
     return rows.groupBy("lang", "source").agg(*aggs)
 
 
-def judged(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", prefix: str = "", bounded: bool = False) -> tuple[DataFrame, dict[str, str]]:
-    """docs with the measures, base_failed and kept, under names that prefix makes free; and those names."""
+def judged(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", prefix: str = "", with_text: bool = True) -> tuple[DataFrame, dict[str, str]]:
+    """docs, without the text if so wished, with the measures, base_failed and kept, under names that prefix makes free; and those names."""
     wanted = [*MEASURES, "base_failed", "kept"]
     names = dict(zip(wanted, fresh(docs, *[f"{prefix}{x}" for x in wanted]), strict=True))
     rows = measured(docs, text, names)
-    limits = cut(thresholds(sketch(rows, names, lang, source), bounded))
+    rows = written(rows, "measured") if with_text else cut(rows.drop(text))
+    limits = cut(thresholds(sketch(rows, names, lang, source)))
     g_lang, g_source = fresh(rows, "g_lang", "g_source")
     cols = {c: n for c, n in zip([c for c in limits.columns if c not in ("lang", "source")], fresh(rows, *[c for c in limits.columns if c not in ("lang", "source")]), strict=True)}
     limits_named = limits.select(F.col("lang").alias(g_lang), F.col("source").alias(g_source), *[F.col(c).alias(n) for c, n in cols.items()])
@@ -171,10 +167,12 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
         limits_named = F.broadcast(limits_named)
     rates = _rates(names)
     fits = F.lit(True)
+    noise = F.floor(NOISE / F.sqrt(F.greatest(F.col(names["n_words"]), F.lit(1)))).cast("long")
     for k in UPPER:
-        fits &= F.coalesce(bucket(rates[k]) <= F.col(cols[f"max_{k}"]), F.lit(True))  # by bucket, as thresholds are buckets
+        at = F.greatest(rates[k] - noise - F.floor(LONG_TOKEN * 1000 / F.greatest(F.col(names["n_words"]), F.lit(1))), F.lit(0)).cast("long") if k in LOWER else rates[k]
+        fits &= F.coalesce(bucket(at) <= F.col(cols[f"max_{k}"]), F.lit(True))  # by bucket, as thresholds come from buckets
     for k in LOWER:
-        fits &= F.coalesce(rates[k] >= F.col(cols[f"min_{k}"]), F.lit(True))
+        fits &= F.coalesce(rates[k] + noise >= F.col(cols[f"min_{k}"]), F.lit(True))
     out = rows.withColumn(names["base_failed"], base_failed(names))
     out = out.join(limits_named, (F.coalesce(out[lang], F.lit("")) == F.col(g_lang)) & (F.coalesce(out[source], F.lit("")) == F.col(g_source)), "left")
     out = out.withColumn(names["kept"], F.when(F.col(names["base_failed"]), F.lit(False)).otherwise(fits))
@@ -183,19 +181,19 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
 
 def drop_low_quality(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """docs without the rows that the rules reject; same columns."""
-    out, names = judged(docs, text, lang, source, bounded=True)
+    out, names = judged(docs, text, lang, source)
     return out.filter(F.col(names["kept"])).select(*docs.columns)
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    out, names = judged(docs)
+    out, names = judged(docs, with_text=False)
     return out.select("doc_id", *[F.col(n).alias(x) for x, n in names.items()])
 
 
 def _op10_sql() -> str:
     """The same in SQL, with thresholds from the same sketch."""
-    rate = {k: f"CAST(floor(CAST({num} AS DOUBLE) * 1000 / greatest(n_words, 1)) AS BIGINT)" for k, (num, _) in UPPER.items()}
+    rate = {k: f"CAST(floor(CAST(greatest({num} - {free}, 0) AS DOUBLE) * 1000 / greatest(n_words, 1)) AS BIGINT)" for k, (num, free, _) in UPPER.items()}
     union = " UNION ALL ".join(f"SELECT lang, source, '{k}' AS kind, {v} AS v FROM passed" for k, v in rate.items())
 
     def quantile(keys: str, name: str) -> str:
@@ -205,9 +203,13 @@ def _op10_sql() -> str:
             SELECT *, sum(n) OVER (PARTITION BY {by} ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {by}) AS total FROM (SELECT {by}, bucket, sum(n) AS n FROM sk GROUP BY {by}, bucket)) GROUP BY {by})"""
 
     pick = ", ".join(f"CASE WHEN o.n >= {MIN_GROUP} THEN o.{c} WHEN l.n >= {MIN_GROUP} THEN l.{c} ELSE a.{c} END AS {c}" for c in ("lo", "mid", "hi"))
-    limits = ", ".join([f"max(CASE WHEN kind = '{k}' THEN greatest(mid + {FENCE} * (hi - mid), {floor}) END) AS max_{k}" for k, (_, floor) in UPPER.items()] + [f"max(CASE WHEN kind = '{k}' THEN least(mid - {FENCE} * (mid - lo), {most}) END) AS min_{k}" for k, most in LOWER.items()])
-    low = lambda v: f"(({v} >> greatest(length(bin({v})) - 8, 0)) << greatest(length(bin({v})) - 8, 0))"
-    fits = " AND ".join([f"coalesce({low(rate[k])} <= max_{k}, true)" for k in UPPER] + [f"coalesce({rate[k]} >= min_{k}, true)" for k in LOWER])
+    above, below = f"{FENCE} * (hi - mid)", f"{FENCE} * (mid - lo)"
+    upper, lower = f"mid + least({above}, greatest({below}, mid))", f"mid - least({below}, greatest({above}, mid // 2))"
+    limits = ", ".join([f"max(CASE WHEN kind = '{k}' THEN {upper} + {margin} END) AS max_{k}" for k, (_, _, margin) in UPPER.items()] + [f"max(CASE WHEN kind = '{k}' THEN {lower} - {margin} END) AS min_{k}" for k, margin in LOWER.items()])
+    noise = f"CAST(floor({NOISE} / sqrt(greatest(n_words, 1))) AS BIGINT)"
+    low = lambda v: f"((({v}) >> greatest(length(bin({v})) - 8, 0)) << greatest(length(bin({v})) - 8, 0))"
+    at = {k: f"greatest({rate[k]} - {noise} - {LONG_TOKEN * 1000} // greatest(n_words, 1), 0)" if k in LOWER else rate[k] for k in UPPER}
+    fits = " AND ".join([f"coalesce({low(at[k])} <= max_{k}, true)" for k in UPPER] + [f"coalesce({rate[k]} + {noise} >= min_{k}, true)" for k in LOWER])
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
 w AS (SELECT rid, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),

@@ -1,3 +1,4 @@
+import random
 import re
 
 import duckdb
@@ -77,6 +78,16 @@ def test_junk_does_not_loosen_its_own_threshold(docs, share):
     assert kept == {r[0] for r in rows if r[0] >= 2000 or r[0] % 100 >= share}
 
 
+def test_thresholds_follow_the_group_and_can_tighten(docs):
+    """No cutoff is fixed: what passes in a group of many repeats, or of long words, does not in others."""
+    rng = random.Random(4)
+    words = lambda n, size: " ".join("".join(rng.choices("abcdefgh", k=rng.randint(size - 2, size + 2))) for _ in range(n))
+    rows = [(k, words(100, 5), "en", "plain") for k in range(150)] + [(1000 + k, words(100, 11), "en", "long") for k in range(150)]
+    rows += [(5000, words(100, 11), "en", "plain"), (5001, words(100, 5), "en", "long"), (5002, words(60, 5) + " #" * 8, "en", "plain"), (5003, words(60, 5) + " ##" + " x" * 1, "en", "plain")]
+    kept = {r.doc_id for r in Q.drop_low_quality(docs(*rows)).collect()}
+    assert kept == {r[0] for r in rows} - {5000, 5001, 5002}
+
+
 def test_nulls_and_empty(docs):
     df = docs((1, None, None, None), (None, "one two three four five six seven eight nine ten eleven", None, "s"), (None, "one two three four five six seven eight nine ten eleven", None, "s"))
     assert [r.doc_id for r in Q.drop_low_quality(df).collect()] == [None, None]
