@@ -16,6 +16,20 @@ def identities(sv: DataFrame) -> DataFrame:
     return first.select("track_id", F.lower("f.icao24").alias("icao24"), F.trim("f.callsign").alias("callsign"), F.to_date("f.event_time").alias("day"), F.unix_timestamp("f.event_time").alias("t_start"))
 
 
+#: Columns of the files of truth.
+TRUTH_COLUMNS = ["AIRCRAFT_ADDRESS", "AIRCRAFT_ID", "ADEP", "ADES", "AOBT_3"]
+
+
+def truth_flights(*months: DataFrame, days: list[str] | None = None) -> DataFrame:
+    """(icao24, callsign, day, aobt_s, adep, ades): flights as the months' files of another source have them, airframes in lower case, callsigns trimmed. Flights without an airframe are left out; days keeps only those, so that a day of tracks is not held against a month of flights."""
+    rows = None
+    for m in months:
+        one = m.select(F.lower("AIRCRAFT_ADDRESS").alias("icao24"), F.trim("AIRCRAFT_ID").alias("callsign"), F.to_date("AOBT_3").alias("day"), F.unix_timestamp(F.col("AOBT_3").cast("timestamp")).alias("aobt_s"), F.col("ADEP").alias("adep"), F.col("ADES").alias("ades"))
+        rows = one if rows is None else rows.unionByName(one)
+    rows = rows.filter("icao24 IS NOT NULL")
+    return rows.filter(F.col("day").isin(*[F.to_date(F.lit(str(d))) for d in days])) if days else rows
+
+
 def ratio(a: Column, b: Column, digits: int = 6) -> Column:
     return F.round(F.try_divide(a.cast("double"), b.cast("double")), digits)
 
@@ -133,7 +147,7 @@ def track_summary(sv: DataFrame) -> DataFrame:
 
 
 def track_quality(summary: DataFrame, edge_seconds: int = 300) -> DataFrame:
-    """One row: tracks, callsigns that are missing, blank or padded, quantiles of length and duration, and tracks cut off at the edges of the time covered."""
+    """One row: tracks, callsigns that are missing, blank or padded, quantiles of length and duration, and tracks cut off at the edges of the time covered. Exact quantiles hold a count for each distinct value: rows of a track, and whole seconds, of which a month has 2.7 million."""
     ends = summary.agg(F.min("first_seen").alias("_from"), F.max("last_seen").alias("_to"))
     rows = summary.join(F.broadcast(ends))  # one row
     share = lambda c: F.round(F.avg(F.when(c, 1.0).otherwise(0.0)), 6)

@@ -44,10 +44,15 @@ def group_id(icao24: str = "icao24", callsign: str = "callsign") -> Column:
 
 
 def track_ids(df: DataFrame, p: TrackParams = TrackParams()) -> DataFrame:
-    """df with track_id: group, session, and year and month of the row. A session ends after a long gap, or after a shorter one if the row after it is low."""
+    """df with track_id: group, session, and year and month of the row. A session ends after a long gap, or after a shorter one if the row after it is low.
+
+    Rows with neither airframe nor callsign are nobody's: they are parted by the hour, which stands before their session, so that they are not one key of any size.
+    """
     low = F.col("baro_altitude") < p.low_altitude_m
-    rows = sessions(df.withColumn("_group", group_id()), ["_group"], "event_time", [Gap(p.gap_minutes * 60), Gap(p.low_gap_minutes * 60, low)], "_session")
-    return rows.withColumn("track_id", F.concat_ws("_", "_group", F.col("_session").cast("string"), F.year("event_time").cast("string"), F.month("event_time").cast("string"))).drop("_group", "_session")
+    hour = F.when(F.col("icao24").isNull() & F.col("callsign").isNull(), F.floor(seconds("event_time") / 3600))
+    rows = sessions(df.withColumns({"_group": group_id(), "_hour": hour}), ["_group", "_hour"], "event_time", [Gap(p.gap_minutes * 60), Gap(p.low_gap_minutes * 60, low)], "_session")
+    session = F.concat_ws("-", F.col("_hour").cast("string"), F.col("_session").cast("string"))
+    return rows.withColumn("track_id", F.concat_ws("_", "_group", session, F.year("event_time").cast("string"), F.month("event_time").cast("string"))).drop("_group", "_session", "_hour")
 
 
 def segment_ids(df: DataFrame, gap_seconds: float = 300) -> DataFrame:

@@ -84,15 +84,32 @@ def buffered(lat1: Column, lon1: Column, lat2: Column, lon2: Column, width_m: Co
     return F.array(at(lat1 + ny, lon1 + nx), at(lat2 + ny, lon2 + nx), at(lat2 - ny, lon2 - nx), at(lat1 - ny, lon1 - nx), at(lat1 + ny, lon1 + nx))
 
 
+def width_m() -> Column:
+    """The width of a feature, stated or by its kind."""
+    return F.coalesce(to_metres(F.col("width")), *[F.when(F.col("aeroway") == k, F.lit(float(v))) for k, v in DEFAULT_WIDTH.items()])
+
+
+def with_rings(features: DataFrame) -> DataFrame:
+    """features, whose shape is a closed ring or, where it has none, a line of points (both array<struct<lat,lon>>), with a ring for each: every segment of a line, or a single point, is widened to a ring of its own. A line without width has none."""
+    if "line" not in features.columns:
+        return features
+    rows = features if "ring" in features.columns else features.withColumn("ring", F.lit(None).cast(features.schema["line"].dataType))
+    n = F.size("line")
+    next_ = F.when(n > 1, F.slice("line", 2, F.greatest(n - 1, F.lit(1)))).otherwise(F.col("line"))
+    pairs = F.zip_with(F.when(n > 1, F.slice("line", 1, F.greatest(n - 1, F.lit(1)))).otherwise(F.col("line")), next_, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    segments = F.filter(F.transform(pairs, lambda s: buffered(s["a"]["lat"], s["a"]["lon"], s["b"]["lat"], s["b"]["lon"], F.col("_w"))), lambda _: F.col("_w").isNotNull())
+    rings = F.when(F.col("ring").isNotNull(), F.array("ring")).otherwise(segments)
+    return rows.withColumn("_w", width_m()).withColumn("ring", F.explode(rings)).drop("line", "_w")
+
+
 def layouts(features: DataFrame, res: int = 12) -> DataFrame:
-    """Cells of aerodrome features (apt_icao, osm_id, aeroway, ref, surface, width, length, type, ring): those whose centre lies inside the ring. Only outer rings count."""
-    width = F.coalesce(to_metres(F.col("width")), *[F.when(F.col("aeroway") == k, F.lit(float(v))) for k, v in DEFAULT_WIDTH.items()])
-    rows = cells.polyfill(features.withColumn("_w", width), "ring", res, "_cell").withColumn("_at", cells.centre(F.col("_cell"), res))
+    """Cells of aerodrome features (apt_icao, osm_id, aeroway, ref, surface, width, length, type, ring): those whose centre lies inside the ring, each once for a feature, whose rings may overlap. Only outer rings count."""
+    rows = cells.polyfill(features.withColumn("_w", width_m()), "ring", res, "_cell").withColumn("_at", cells.centre(F.col("_cell"), res))
     return rows.select(
         F.col("apt_icao").alias("layout_apt_icao"), F.col("_cell").alias("layout_h3_id"), F.col("_at.lat").alias("layout_latitude"), F.col("_at.lon").alias("layout_longitude"), F.lit(res).alias("layout_res"),
         F.col("aeroway").alias("layout_aeroway"), to_metres(F.col("length")).alias("layout_length"), F.col("ref").alias("layout_ref"), F.col("surface").alias("layout_surface"), F.col("_w").alias("layout_width"),
         F.col("osm_id").cast("long").alias("layout_osm_id"), F.col("type").alias("layout_type"),
-    )
+    ).distinct()
 
 
 # --- airspaces -----------------------------------------------------------------------------------------------------

@@ -114,6 +114,37 @@ def layouts(spark, sf):
     return layout(spark, sf).select("layout_apt_icao", "layout_h3_id", r("layout_latitude"), r("layout_longitude"), "layout_aeroway", "layout_osm_id", "layout_ref", r("layout_width"), r("layout_length"))
 
 
+_LINES = """SELECT apt_ident AS apt_icao, CAST(substr(apt_ident, 2) AS BIGINT) AS osm_id, 'runway' AS aeroway, 'L' AS ref, 'asphalt' AS surface, '400 m' AS width, '2' AS length, 'way' AS type,
+ apt_latitude_deg - 0.03 AS lat1, apt_longitude_deg - 0.02 AS lon1, apt_latitude_deg + 0.02 AS lat2, apt_longitude_deg + 0.015 AS lon2"""
+
+
+def _lines_sql() -> str:
+    """Cells whose centre lies beside the line, by its distance along and across, in metres about the line's beginning."""
+    s = cells.side_nm(_LRES)
+    wide = cells._ROOT3 * s
+    sql = _LINES
+    for x in ("0.03", "0.02", "0.015"):
+        sql = sql.replace(f" {x} ", f" {x}::DOUBLE ")
+    return f"""li AS ({sql} FROM apt),
+li1 AS (SELECT *, unnest(range(CAST(floor((lat1 - 0.02) * 60 / {1.5 * s!r}::DOUBLE) AS BIGINT), CAST(ceil((lat2 + 0.02) * 60 / {1.5 * s!r}::DOUBLE) AS BIGINT) + 1)) AS r FROM li),
+li2 AS (SELECT *, unnest(range(CAST(floor((lon1 - 0.02) * {cells.LON_NM!r}::DOUBLE / {wide!r}::DOUBLE - r / 2::DOUBLE) AS BIGINT), CAST(ceil((lon2 + 0.02) * {cells.LON_NM!r}::DOUBLE / {wide!r}::DOUBLE - r / 2::DOUBLE) AS BIGINT) + 1)) AS q FROM li1),
+li3 AS (SELECT *, r * {1.5 * s!r}::DOUBLE / 60::DOUBLE AS clat, (q + r / 2::DOUBLE) * {wide!r}::DOUBLE / {cells.LON_NM!r}::DOUBLE AS clon FROM li2),
+li4 AS (SELECT *, (lat2 - lat1) * 111195 AS dy, (lon2 - lon1) * 111195 * cos(radians(lat1)) AS dx, (clat - lat1) * 111195 AS py, (clon - lon1) * 111195 * cos(radians(lat1)) AS px FROM li3)"""
+
+
+@query(
+    "layout_lines",
+    f"""%{_lines_sql()} SELECT apt_icao AS layout_apt_icao, '{_LRES}:' || q || ':' || r AS layout_h3_id, osm_id AS layout_osm_id, aeroway AS layout_aeroway, 400::DOUBLE AS layout_width FROM li4
+    WHERE (px * dx + py * dy) / sqrt(dx * dx + dy * dy) BETWEEN 0 AND sqrt(dx * dx + dy * dy) AND abs(px * dy - py * dx) / sqrt(dx * dx + dy * dy) <= 400""",
+    "apt",
+)
+def layout_lines(spark, sf):
+    rows = views.apt(spark, sf).selectExpr(*views._split(_LINES.removeprefix("SELECT ").replace("0.03", "0.03D").replace("0.02", "0.02D").replace("0.015", "0.015D")))
+    at = lambda a, b: F.struct(F.col(a).alias("lat"), F.col(b).alias("lon"))
+    rows = rows.withColumn("line", F.array(at("lat1", "lon1"), at("lat2", "lon2")))
+    return zones.layouts(zones.with_rings(rows), _LRES).select("layout_apt_icao", "layout_h3_id", "layout_osm_id", "layout_aeroway", "layout_width")
+
+
 def _infra(spark, sf):
     rows = progress(spark, sf).withColumn("h3_res_9", cells.cell("lat", "lon", _LRES))
     flights = views.table(spark, sf, "orders").select(

@@ -19,6 +19,8 @@ _B = Box()
 _BORDER = f"(lat <= {_B.south} + 0.5 OR lat >= {_B.north} - 0.5 OR lon <= {_B.west} + 0.5 / greatest(cos(radians(lat)), 0.1) OR lon >= {_B.east} - 0.5 / greatest(cos(radians(lat)), 0.1))"
 VIEWS["ends"] = f"""ends AS (SELECT track_id, role, event_time, lat, lon, icao24, callsign, baro_altitude, on_ground, {_BORDER} AS at_border FROM (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY event_time, lat, lon) AS a,
  row_number() OVER (PARTITION BY track_id ORDER BY event_time DESC, lat DESC, lon DESC) AS z, count(*) OVER (PARTITION BY track_id) AS n FROM d WHERE lat IS NOT NULL AND lon IS NOT NULL), (VALUES ('adep'), ('ades')) r(role) WHERE (role = 'adep' AND a = 1) OR (role = 'ades' AND z = 1 AND n > 1))"""
+#: As far as the flight list looks for an aerodrome.
+REACH_NM = 110
 _DIST = f"{angle_sql('lat', 'lon', 'apt_latitude_deg', 'apt_longitude_deg')} * 3440.065"
 
 
@@ -40,9 +42,9 @@ def candidates_grid(spark, sf):
     return research.near(sv(spark, sf), views.apt(spark, sf), 40).groupBy("apt_ident").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("dist_nm"), 6).alias("mean_nm"))
 
 
-@query("endpoint_candidates", f"%{cand_sql(40)} SELECT track_id, role, event_time, apt_ident, round(dist_nm, 6) AS dist_nm, round(eff_nm, 6) AS eff_nm, round(agl_ft, 6) AS agl_ft, elev_known, on_ground, at_border FROM cand", "sm d ends apt")
+@query("endpoint_candidates", f"%{cand_sql(REACH_NM)} SELECT track_id, role, event_time, apt_ident, round(dist_nm, 6) AS dist_nm, round(eff_nm, 6) AS eff_nm, round(agl_ft, 6) AS agl_ft, elev_known, on_ground, at_border FROM cand", "sm d ends apt")
 def endpoint_candidates(spark, sf):
-    rows = spatial.endpoint_candidates(sv(spark, sf), views.apt(spark, sf), 40)
+    rows = spatial.endpoint_candidates(sv(spark, sf), views.apt(spark, sf), REACH_NM)
     return rows.select("track_id", "role", F.col("event_time").cast("timestamp_ntz").alias("event_time"), "apt_ident", r("dist_nm"), r("eff_nm"), r("agl_ft"), "elev_known", "on_ground", "at_border")
 
 
@@ -58,9 +60,9 @@ def named_sql(mode: str, radius: float = 40, height: float = 15000) -> str:
 
 
 def _name(mode: str) -> None:
-    @query(f"name_{mode}", f"%{cand_sql(60)}, {named_sql(mode)} SELECT track_id, role, named, source, round(dist_nm, 6) AS dist_nm FROM named", "sm d ends apt")
+    @query(f"name_{mode}", f"%{cand_sql(REACH_NM)}, {named_sql(mode)} SELECT track_id, role, named, source, round(dist_nm, 6) AS dist_nm FROM named", "sm d ends apt")
     def run(spark, sf):
-        c = spatial.endpoint_candidates(sv(spark, sf), views.apt(spark, sf), 60)
+        c = spatial.endpoint_candidates(sv(spark, sf), views.apt(spark, sf), REACH_NM)
         return naming.classify_endpoints(c, mode).select("track_id", "role", "named", "source", r("dist_nm"))
 
 
@@ -74,7 +76,7 @@ fl AS (SELECT track_id, {_side("adep", "icao24")} AS icao24, {_side("adep", "fli
 
 
 def _flights(spark, sf):
-    c = spatial.endpoint_candidates(sv(spark, sf), views.apt(spark, sf), 60)
+    c = spatial.endpoint_candidates(sv(spark, sf), views.apt(spark, sf), REACH_NM)
     return naming.flights_from_endpoints(naming.classify_endpoints(c))
 
 
@@ -82,14 +84,14 @@ def ntz(df):
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c, t in df.dtypes if t == "timestamp"})
 
 
-@query("flights_endpoint", f"%{cand_sql(60)}, {named_sql('endpoint')}, {_FLIGHTS} SELECT * FROM fl", "sm d ends apt")
+@query("flights_endpoint", f"%{cand_sql(REACH_NM)}, {named_sql('endpoint')}, {_FLIGHTS} SELECT * FROM fl", "sm d ends apt")
 def flights_endpoint(spark, sf):
     return ntz(_flights(spark, sf))
 
 
 @query(
     "enrich",
-    f"""%{cand_sql(60)}, {named_sql("endpoint")}, {_FLIGHTS} SELECT track_id AS ID, fl.icao24 AS ICAO24, flight_id AS FLT_ID, dof AS DOF, adep AS ADEP, ades AS ADES, adep_p AS ADEP_P, ades_p AS ADES_P, registration AS REGISTRATION, model AS MODEL, typecode AS TYPECODE,
+    f"""%{cand_sql(REACH_NM)}, {named_sql("endpoint")}, {_FLIGHTS} SELECT track_id AS ID, fl.icao24 AS ICAO24, flight_id AS FLT_ID, dof AS DOF, adep AS ADEP, ades AS ADES, adep_p AS ADEP_P, ades_p AS ADES_P, registration AS REGISTRATION, model AS MODEL, typecode AS TYPECODE,
     icao_aircraft_class AS ICAO_AIRCRAFT_CLASS, icao_operator AS ICAO_OPERATOR, first_seen AS FIRST_SEEN, last_seen AS LAST_SEEN, version AS VERSION, adep_source AS ADEP_SOURCE, ades_source AS ADES_SOURCE FROM fl LEFT JOIN db ON fl.icao24 = db.icao24""",
     "sm d ends apt db",
 )
@@ -111,7 +113,7 @@ def overflights(spark, sf):
 
 # --- zones and the trend of altitude -------------------------------------------------------------------------------
 
-RES, RADII = 6, (0, 5, 10, 15, 20)
+RES, RADII = 6, zones.RADII
 
 
 def zone_sql() -> str:
@@ -274,6 +276,25 @@ idt AS (SELECT track_id, lower(icao24) AS icao24, trim(callsign) AS callsign, CA
 al AS (SELECT * EXCLUDE (rn) FROM (SELECT lt.*, track_id, t_start, row_number() OVER (PARTITION BY lt.icao24, lt.callsign, lt.day, aobt_s ORDER BY abs(t_start - aobt_s) NULLS LAST, track_id NULLS LAST) AS rn FROM lt LEFT JOIN idt ON lt.icao24 = idt.icao24 AND lt.callsign = idt.callsign AND lt.day = idt.day) WHERE rn = 1)"""
 
 
+_FILES = f"""SELECT CASE WHEN o_orderkey % 29 <> 0 THEN upper(lpad(HEX(o_custkey), 6, '0')) END AS AIRCRAFT_ADDRESS, concat('  F', o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN ' ' ELSE '' END) AS AIRCRAFT_ID,
+ concat('A', o_custkey % 25) AS ADEP, CASE WHEN o_orderkey % 23 <> 0 THEN concat('A', o_orderkey * 7 % 25) END AS ADES, o_orderdate AS AOBT_3 FROM orders"""
+TRUTH_DAYS = ["1994-03-01", "1995-06-17", "1996-01-02", "1996-11-30", "1997-07-04"]
+
+
+@query(
+    "truth_flights",
+    f"""WITH f AS ({_FILES.replace("HEX(", "to_hex(")}) SELECT lower(AIRCRAFT_ADDRESS) AS icao24, trim(AIRCRAFT_ID) AS callsign, CAST(AOBT_3 AS DATE) AS day, {epoch_sql("AOBT_3")} AS aobt_s, ADEP AS adep, ADES AS ades
+    FROM f WHERE AIRCRAFT_ADDRESS IS NOT NULL AND (CAST(AOBT_3 AS DATE) IN ({", ".join(f"DATE '{d}'" for d in TRUTH_DAYS)}) OR year(AOBT_3) = 1998)""",
+)
+def truth_flights(spark, sf):
+    """Two files, of the odd orders and of the even; some days, and a year day by day."""
+    views.table(spark, sf, "orders").createOrReplaceTempView("truth_orders")
+    files = spark.sql(_FILES.replace("FROM orders", "FROM truth_orders").replace("HEX(", "hex("))
+    odd = F.substring(F.trim("AIRCRAFT_ID"), 2, 20).cast("long") % 2 == 1
+    year = [f"1998-{m:02d}-{d:02d}" for m in range(1, 13) for d in range(1, 32) if d <= (28 if m == 2 else 30 if m in (4, 6, 9, 11) else 31)]
+    return score.truth_flights(files.filter(odd), files.filter(~odd), days=TRUTH_DAYS + year)
+
+
 def aligned(spark, sf):
     return score.align(score.label_truth(views.truth(spark, sf), views.apt(spark, sf)), score.identities(sv(spark, sf)))
 
@@ -326,14 +347,15 @@ def evidence(spark, sf):
     return rows.select("track_id", *[r(f"{s}_{c}") if c in ("dist_nm", "agl_ft") else f"{s}_{c}" for s in ("adep", "ades") for c in _COLS])
 
 
-RADIUS_GRID, HEIGHT_GRID = [5, 10, 15, 20, 30, 40], [1000, 3000, 5000, 10000, 15000]
+RADIUS_GRID, HEIGHT_GRID = [5, 10, 15, 20, 30, 40, 60, 80, 110], [500, 1000, 2000, 3000, 5000, 7500, 10000, 15000, 25000, 1000000000]
+_EV_FAR = cand_sql(REACH_NM, "LEFT", 0) + _EV.removeprefix(M["m1"].split(", m1 AS")[0])
 _swok = lambda s: f"coalesce({s}_dist_nm <= radius_nm AND ({s}_on_ground OR ({s}_elev_known AND {s}_agl_ft <= height_ft)), false)"
 _swc = lambda s: f"round(count(*) FILTER (WHERE {_swok(s)} AND true_{s} IS NOT NULL)::DOUBLE / nullif(count(true_{s}), 0), 6) AS {s}_coverage, round(count(*) FILTER (WHERE {_swok(s)} AND true_{s} = {s}_apt_ident)::DOUBLE / nullif(count(*) FILTER (WHERE {_swok(s)} AND true_{s} IS NOT NULL), 0), 6) AS {s}_accuracy"
 
 
-@query("sweep", f"%{_EV} SELECT radius_nm, height_ft, {_swc('adep')}, {_swc('ades')} FROM al LEFT JOIN ev ON al.track_id = ev.track_id, (SELECT unnest({RADIUS_GRID})::DOUBLE AS radius_nm), (SELECT unnest({HEIGHT_GRID})::DOUBLE AS height_ft) GROUP BY radius_nm, height_ft", "sm d ends apt truth al")
+@query("sweep", f"%{_EV_FAR} SELECT radius_nm, height_ft, {_swc('adep')}, {_swc('ades')} FROM al LEFT JOIN ev ON al.track_id = ev.track_id, (SELECT unnest({RADIUS_GRID})::DOUBLE AS radius_nm), (SELECT unnest({HEIGHT_GRID})::DOUBLE AS height_ft) GROUP BY radius_nm, height_ft", "sm d ends apt truth al")
 def sweep(spark, sf):
-    ev = research.pivot_evidence(research.candidates_for(sv(spark, sf), views.apt(spark, sf)))
+    ev = research.pivot_evidence(research.candidates_for(sv(spark, sf), views.apt(spark, sf), REACH_NM))
     return score.sweep(aligned(spark, sf), ev, RADIUS_GRID, HEIGHT_GRID)
 
 

@@ -129,11 +129,26 @@ def test_steps_end_to_end(spark, tmp_path):
     assert steps.overflights(*month) == ["2024-06-01"] and steps.store.read("flight_list").count() == 2
     ring = F.array(*[F.struct(F.lit(a).alias("lat"), F.lit(b).alias("lon")) for a, b in ((49.99, 3.99), (49.99, 4.02), (50.02, 4.02), (50.02, 3.99), (49.99, 3.99))])
     features = spark.createDataFrame([("AAAA", 5, "runway", "09", "asphalt", None, "2 mi", "way")], "apt_icao string, osm_id long, aeroway string, ref string, surface string, width string, length string, type string").withColumn("ring", ring)
+    assert steps.events(*month, families=("infrastructure",)) == [] and steps.ledger.left("events-infrastructure", ["2024-06-01"])  # no layouts yet: not done, not marked
     steps.layouts(features)
+    line = features.drop("ring").withColumns({"apt_icao": F.lit("BBBB"), "line": F.array(F.struct(F.lit(50.6).alias("lat"), F.lit(4.9).alias("lon")), F.struct(F.lit(50.61).alias("lat"), F.lit(4.9).alias("lon")))})
+    steps.layouts(line)
+    assert {r.layout_apt_icao for r in steps.store.read("layouts").select("layout_apt_icao").distinct().collect()} == {"AAAA", "BBBB"} == steps.ledger.done("layouts")
+    assert steps.events(*month, families=("horizontal", "vertical", "seen")) == ["2024-06-01"]
     assert steps.events(*month) == ["2024-06-01"] and steps.events(*month) == []
     kinds = {r.type for r in steps.store.read("flight_events").select("type").distinct().collect()}
     assert {"first_seen", "last_seen", "first-xing-fl50", "last-xing-fl100", "take-off", "entry-runway", "exit-runway"} <= kinds
     assert steps.store.read("measurements").count() == 2 * steps.store.read("flight_events").count()
+    stored = lambda name: sorted(map(str, steps.store.read(name).collect()))
+    events, values = stored("flight_events"), stored("measurements")
+    assert steps.events(*month, skip_done=False) == ["2024-06-01"]  # a redo leaves the same tables
+    assert stored("flight_events") == events and stored("measurements") == values and len(set(events)) == len(events)
+    write, calls = steps.store.write, []
+    steps.store.write = lambda df, name, *a: calls.append(name) or (write(df, name, *a) if name != "measurements" else 1 / 0)
+    with pytest.raises(ZeroDivisionError):  # between the two writes
+        steps.events(*month, skip_done=False)
+    steps.store.write = write
+    assert calls == ["flight_events", "measurements"] and steps.events(*month, skip_done=False) and stored("flight_events") == events and stored("measurements") == values
     out = steps.export(*month, f"{tmp_path}/export")
     assert out["flight_list"] == 2 and out["measurements"] == 2 * out["flight_events"] > 0
     assert steps.export(*month, f"{tmp_path}/export") == {"flight_list": 0, "flight_events": 0, "measurements": 0}
@@ -149,6 +164,40 @@ def test_steps_end_to_end(spark, tmp_path):
     assert got == {"F1": ("AAAA", "BBBB"), "F2": ("BBBB", "AAAA")}
 
 
+def test_redo_of_flights_keeps_overflights(spark, tmp_path):
+    config = replace(Config.for_environment("local", f"{tmp_path}/w"), raw=f"{tmp_path}/raw", every_s=1)
+    steps = Steps(Store(spark, config.root), config)
+    rows = flight(0, (50.0, 4.0), (50.6, 4.9)) + [(*r[:12], 11000.0, 11000.0, *r[14:]) for r in flight(1, (52.0, 8.0), (53.0, 9.0), "OVER", "ccc333")]
+    raw = spark.createDataFrame([(*r[:8], False, *r[9:]) if r[7] == "OVER" else r for r in rows], schemas.STATE_VECTORS).withColumn("event_time", F.unix_timestamp("event_time"))
+    for hour in (12, 15):
+        unix = int(T0.replace(hour=hour).timestamp())
+        raw.filter(F.floor(F.col("event_time") / 3600) * 3600 == unix).write.parquet(f"{tmp_path}/raw/hour={unix}")
+    (tmp_path / "airports.csv").write_text("id,ident,type,name,latitude_deg,longitude_deg,elevation_ft,continent,scheduled_service\n1,AAAA,large_airport,a,50.0,4.0,0,EU,yes\n2,BBBB,medium_airport,b,50.6,4.9,100,EU,no\n")
+    (tmp_path / "db.csv").write_text("'icao24','registration','model','typecode','icaoAircraftClass','operatorIcao'\n'aaa111','R1','M','T','L2J','O'\n")
+    steps.reference({"airports": f"{tmp_path}/airports.csv"})
+    steps.aircraft(f"{tmp_path}/db.csv")
+    steps.zones(7, (0, 5, 10))
+    steps.ingest(T0, T0 + timedelta(hours=6))
+    month = (date(2024, 6, 1), date(2024, 7, 1))
+    steps.tracks(*month)
+    steps.clean(*month)
+    assert steps.flights(*month) == steps.overflights(*month) == ["2024-06-01"]
+    once = sorted(map(str, steps.store.read("flight_list").collect()))
+    assert len(once) == 2
+    steps.flights(*month, skip_done=False)
+    assert sorted(map(str, steps.store.read("flight_list").collect())) == once
+    steps.overflights(*month, skip_done=False)
+    assert sorted(map(str, steps.store.read("flight_list").collect())) == once
+
+
+def test_nobodys_rows_are_parted_by_the_hour(spark):
+    from aerolith.operators.sessionize import track_ids
+
+    rows = spark.createDataFrame([(None, None, T0 + timedelta(minutes=20 * k), 9000.0) for k in range(9)] + [(None, "X", T0 + timedelta(minutes=20 * k), 9000.0) for k in range(9)], "icao24 string, callsign string, event_time timestamp, baro_altitude double")
+    got = track_ids(rows)
+    assert got.filter("callsign IS NULL").select("track_id").distinct().count() == 3 and got.filter("callsign = 'X'").select("track_id").distinct().count() == 1
+
+
 def test_steps_and_command_line(capsys):
     assert list(runner.STEPS)[:5] == ["00a", "00b", "00c", "00d", "00e"]
     assert runner.chosen(["02"]) == ["02"] and runner.chosen(["00"]) == ["00a", "00b", "00c", "00d", "00e"] and runner.chosen(None) == list(runner.STEPS)
