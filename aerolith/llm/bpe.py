@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_of
+from .common import ship, table, text_of
 
 CACHE_WORDS = 600_000
 _SPACES = "\t-\r\x20\x85\xa0  -     　"
@@ -170,6 +170,7 @@ def word_bpe(path: str) -> WordBPE:
 
 def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids, decoded) of every row: the operator itself, with its real outputs."""
+    ship(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,6 +184,7 @@ def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
 
 def encode_digests(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row, without carrying the ids out of the task."""
+    ship(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
 

@@ -180,8 +180,10 @@ def drop_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     if some:
         found = found.join(again, (F.col("digest") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("keep_id")), "left")
     found = found.select(F.col("digest").alias(key), F.col("keep_id").alias(keep), (F.col("of").isNotNull() if some else F.lit(False)).alias(repeated))
-    marked = docs.withColumn(key, F.unhex(F.sha2(text_of(text), 256)))
-    kept = marked.join(found, key, "left").filter(F.col(doc_id).cast("long").eqNullSafe(F.col(keep)))
+    own, *_ = fresh(docs.withColumns({x: F.lit(0) for x in (key, keep, repeated)}), "own")
+    marked = docs.withColumn(own, F.unhex(F.sha2(text_of(text), 256)))
+    # by digest and id together, so that a text with a third of all rows is no hot key
+    kept = marked.join(found, (F.col(own) == F.col(key)) & F.col(doc_id).cast("long").eqNullSafe(F.col(keep)))
     return one_each(kept, key, repeated, docs.columns) if some else kept.select(*docs.columns)
 
 

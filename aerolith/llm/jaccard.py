@@ -171,7 +171,8 @@ def _in_blocks(members: DataFrame, key: str) -> DataFrame:
     """members, whose blocks column says into how many their key's group is cut, once for each pair of blocks that their own is part of: key, lo, hi, block and all else."""
     paired = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     paired = paired.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}).drop("other")
-    return paired.repartition(key, "lo", "hi").sortWithinPartitions(key, "lo", "hi")
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # stated, as few bytes are much work here: not to be put together by size
+    return paired.repartition(parts, key, "lo", "hi").sortWithinPartitions(key, "lo", "hi")
 
 
 def linked(texts: pa.Array, first: np.ndarray, cross: bool, similarity: Fraction = SIMILARITY) -> np.ndarray:
@@ -277,7 +278,8 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tupl
     sizes = own.groupBy("root").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_BYTES)).cast("int").alias("blocks"))
     members = own.join(sizes, "root").join(nodes, "tkey").select("tkey", "rep", "root", F.greatest("blocks", F.lit(1)).alias("blocks"))
 
-    found = rows.join(members, "tkey").filter(F.col("doc_id").eqNullSafe(F.col("rep")))
+    at = members.withColumnRenamed("tkey", "of")  # by text and id together, so that a text with a third of all rows is no hot key
+    found = rows.join(at, (F.col("tkey") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("rep")))
     found = found.withColumn("block", F.pmod(F.xxhash64(F.lit(7), "tkey"), F.col("blocks")).cast("int"))
     dealt = _in_blocks(found.select("root", "block", "blocks", "tkey", "text"), "root").select("root", "lo", "hi", "block", "blocks", "tkey", "text")
     links = cut(dealt.mapInArrow(_verify, "tkey binary, low binary, n_links long, open boolean"))
@@ -308,7 +310,9 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
     if some:
         nodes = nodes.join(again, F.col("top") == F.col("of"), "left")
     nodes = nodes.select(F.col("tkey").alias(key), F.col("class_id").alias(keep), F.col("top").alias(group), (F.col("of").isNotNull() if some else F.lit(False)).alias(repeated))
-    kept = docs.withColumn(key, _tkey(text_of(text))).join(nodes, key, "left").filter(F.col(doc_id).cast("long").eqNullSafe(F.col(keep)))
+    own, *_ = fresh(docs.withColumns({x: F.lit(0) for x in (key, keep, group, repeated)}), "own")
+    marked = docs.withColumn(own, _tkey(text_of(text)))
+    kept = marked.join(nodes, (F.col(own) == F.col(key)) & F.col(doc_id).cast("long").eqNullSafe(F.col(keep)))
     return one_each(kept, group, repeated, docs.columns) if some else kept.select(*docs.columns)
 
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import HASH_ROWS, cut, flat_bytes, mix, table, text_of, word_hashes
+from .common import HASH_ROWS, cut, flat_bytes, mix, ship, table, text_of, word_hashes
 
 WORD_BITS, PAIR_BITS = 18, 20
 PAIR, WORD = 0.6, 0.95
@@ -295,13 +295,16 @@ def _scores(part: pa.RecordBatch, marks: np.ndarray, keys: np.ndarray, tables: l
         less = lambda at_, own, counts=counts, held=held: (counts[at_] - own * held).astype(float)
         total = counts[np.searchsorted(keys, TOTAL)] if len(doc) else 0
         loss = losses((total - n[doc] * held).astype(float), less(word, own_word), less(previous, own_previous), less(pair, own_pair))
-        sums = np.concatenate([[0.0], np.cumsum(loss)])
-        mean.append((sums[at[1:]] - sums[at[:-1]]) / np.maximum(n, 1))
+        sums = np.zeros(len(n))  # each document by itself, so that its mean does not depend on the rows before it
+        if len(loss):
+            sums[~none] = np.add.reduceat(loss, at[:-1][~none])
+        mean.append(sums / np.maximum(n, 1))
     return pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), *[pa.array(x, pa.float64(), mask=none) for x in (*mean, mean[0] - mean[1])]], ["doc_id", "n_tokens", "loss_target", "loss_background", "score"])
 
 
 def score(docs: DataFrame, chosen: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, loss_target, loss_background, score) of every row of docs; chosen holds the doc_ids of the target, each once."""
+    ship(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-size // CHUNK))

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_of, work_dir
+from .common import ship, table, text_of, work_dir
 
 MIN_REVISIT = 100
 #: A task begins another archive beyond so many bytes.
@@ -122,6 +122,7 @@ def decide(pages: DataFrame) -> DataFrame:
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """Writes the archives to folder/archives and the index to folder/index; returns the index."""
     spark = pages.sparkSession
+    ship(spark)
     decide(pages).mapInArrow(_writer(f"{folder}/archives"), _INDEX).write.parquet(f"{folder}/index")
     return spark.read.parquet(f"{folder}/index")
 
@@ -182,6 +183,7 @@ def _reader(folder: str, with_payload: bool):
 
 def read_records(index: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
     """The records that the index rows name, checked against their digests."""
+    ship(index.sparkSession)
     stretch = F.floor(F.col("offset") / STRETCH_BYTES)
     dealt = index.select("file", "offset", "length", "url").withColumn("stretch", stretch).repartition("file", "stretch").sortWithinPartitions("file", "offset").drop("stretch")
     return dealt.mapInArrow(_reader(f"{folder}/archives", with_payload), _RECORD + (", payload binary" if with_payload else ""))
