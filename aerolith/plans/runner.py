@@ -10,6 +10,7 @@ from datetime import date, datetime, timezone
 
 from ..config import Config, load_env, session
 from ..sources.store import Store
+from . import study
 from .drivers import Steps
 
 
@@ -38,7 +39,8 @@ STEPS: dict[str, tuple[str, Callable[[Steps, argparse.Namespace], object]]] = {
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="aerolith", description="Trajectory analytics on Spark")
-    p.add_argument("command", choices=["run", "steps"])
+    p.add_argument("command", choices=["run", "steps", "score", "sweep"])
+    study.add_arguments(p)
     p.add_argument("--env", default="local")
     p.add_argument("--root", help="folder of the tables; without it they are catalog tables")
     p.add_argument("--raw", help="folder of raw hours")
@@ -89,6 +91,11 @@ def main(argv: list[str] | None = None) -> int:
         for k, (title, _) in STEPS.items():
             print(k, title)
         return 0
+    if args.command in ("score", "sweep"):
+        if not (args.tracks and args.airports and args.truth):
+            parser().error(f"{args.command} needs --tracks, --airports and --truth")
+        study.run(session(Config.for_environment(args.env, args.root)), args)
+        return 0
     return run(args)
 
 

@@ -204,6 +204,29 @@ def test_steps_and_command_line(capsys):
     assert runner.main(["steps"]) == 0 and "02a clean tracks" in capsys.readouterr().out
 
 
+def test_score_and_sweep_from_the_command_line(spark, tmp_path, monkeypatch):
+    from aerolith.plans import study
+
+    columns = [f.name for f in schemas.STATE_VECTORS.fields]
+    for k, name, icao, a, b in ((0, "F1", "aaa111", (50.0, 4.0), (50.6, 4.9)), (1, "F2", "bbb222", (50.6, 4.9), (50.0, 4.0))):
+        spark.createDataFrame(flight(k, a, b, name, icao), schemas.STATE_VECTORS).select(*columns).withColumn("track_id", F.lit(name)).write.mode("append").parquet(f"{tmp_path}/tracks")
+    airports = [("AAAA", 50.0, 4.0, 0.0, "yes", "large_airport"), ("BBBB", 50.6, 4.9, 100.0, "no", "medium_airport"), ("SSSS", 50.0, 4.01, 0.0, "no", "small_airport")]
+    spark.createDataFrame(airports, "apt_ident string, apt_latitude_deg double, apt_longitude_deg double, elevation_ft double, apt_scheduled string, apt_type string").write.parquet(f"{tmp_path}/airports")
+    truth = "AIRCRAFT_ADDRESS string, AIRCRAFT_ID string, ADEP string, ADES string, AOBT_3 timestamp"
+    spark.createDataFrame([("AAA111", " F1 ", "AAAA", "BBBB", T0), (None, "F9", "AAAA", "BBBB", T0)], truth).write.parquet(f"{tmp_path}/june")
+    spark.createDataFrame([("bbb222", "F2", "BBBB", "XXXX", T0 + timedelta(hours=3)), ("BBB222", "F2", "BBBB", "AAAA", T0 + timedelta(days=3))], truth).write.parquet(f"{tmp_path}/other")
+    monkeypatch.setattr(runner, "session", lambda config: spark)
+    files = ["--tracks", f"{tmp_path}/tracks", "--airports", f"{tmp_path}/airports", "--truth", f"{tmp_path}/june", f"{tmp_path}/other", "--days", "2024-06-01", "--out", f"{tmp_path}/out"]
+    assert runner.main(["score", *files, "--methods", "m1", "m6"]) == 0 and runner.main(["sweep", *files]) == 0
+    rows = {r.method: r for r in spark.read.csv(f"{tmp_path}/out/score", header=True).collect()}
+    assert set(rows) == {"m1", "m6"} and (rows["m1"].n, rows["m1"].n_matched, rows["m1"].adep_accuracy, rows["m1"].ades_accuracy) == ("2", "2", "1.0", "0.5")
+    assert spark.read.csv(f"{tmp_path}/out/sweep", header=True).count() == len(study.SWEEP_RADII) * len(study.SWEEP_HEIGHTS)
+    with pytest.raises(SystemExit):
+        runner.main(["score"])
+    with pytest.raises(ValueError):
+        study.name_by(spark.read.parquet(f"{tmp_path}/tracks"), spark.read.parquet(f"{tmp_path}/airports"), ["m4"])
+
+
 def test_configuration(tmp_path, monkeypatch):
     assert Config.for_environment("live").cluster.options()["spark.sql.adaptive.enabled"] == "true"
     with pytest.raises(ValueError):
