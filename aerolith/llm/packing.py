@@ -7,7 +7,7 @@ source nor its cluster: the first of them is the tightest compatible bin. If the
 
 Scale: documents are dealt by a hash into shards of about SHARD_DOCS, whatever their source, so that a hot source or cluster is
 spread evenly. Rows that agree in all that is packed are counted first, and their copies are spread evenly over the shards, beginning with the one of their hash. Shards are packed apart, each by one task that holds (id, size, source, cluster) of its documents only. Their
-number grows with the documents. Bins are named by shard and place; the packing is the same on every run. As bins do not span shards, the last bins of each stay part empty, a price of about one in a hundred (README).
+number grows with the documents. Bins are named by shard and place; the packing is the same on every run. As bins do not span shards, the last bins of each stay part empty, a price of about one bin in two hundred (README).
 
 Defined cases: a null or empty text has no tokens and is placed as a piece of size 0 that keeps the conflicts, in a bin of its own only where no compatible one exists. A null source is a source of its own; a null
 cluster is in conflict with nothing. Documents of equal size go by doc_id, nulls first, then by source and cluster. Repeated rows are placed each. Very long
