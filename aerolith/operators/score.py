@@ -169,3 +169,41 @@ def fragmentation(summary: DataFrame) -> DataFrame:
     """How many tracks each airframe, callsign and day falls into, counted by that number; many mean fragmented tracks."""
     each = summary.groupBy("icao24", "callsign", F.to_date("first_seen").alias("day")).agg(F.count(F.lit(1)).alias("tracks"))
     return each.groupBy("tracks").agg(F.count(F.lit(1)).alias("flights"))
+
+
+def track_outliers(summary: DataFrame, first_day: str | None = None, last_day: str | None = None, edge_seconds: int = 300) -> DataFrame:
+    """One row: tracks of a single row, of under 5 minutes and over 18 hours, the longest, and those that begin or end within edge_seconds of the days covered, which are those given or else those that the tracks reach."""
+    days = summary.agg(F.coalesce(F.lit(first_day).cast("date"), F.to_date(F.min("first_seen"))).alias("_from"), F.coalesce(F.lit(last_day).cast("date"), F.to_date(F.max("last_seen"))).alias("_to"))
+    rows = summary.join(F.broadcast(days))  # one row
+    n = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    t = lambda c: F.unix_timestamp(F.col(c).cast("timestamp"))
+    return rows.agg(
+        n(F.col("n") == 1).alias("single_row"),
+        n(F.col("hours") < 5 / 60).alias("under_5min"),
+        n(F.col("hours") > 18).alias("over_18h"),
+        F.round(F.max("hours"), 6).alias("hours_max"),
+        n(t("first_seen") - t("_from") < edge_seconds).alias("starts_at_edge"),
+        n(t("_to") + 86399 - t("last_seen") < edge_seconds).alias("ends_at_edge"),
+    )
+
+
+def merging(truth: DataFrame, tracks: DataFrame) -> DataFrame:
+    """One row: of the other source's flights those met by a track of their airframe, callsign and day, those met by several (fragmented), the 99th percentile and the most; of the tracks those met, those that meet several flights (merged), and the most. Flights are told apart by their aerodromes; rows that repeat one count as meetings of it.
+
+    Both sides are counted by key before they meet, so that a key with many tracks and flights gives a row per flight, not per pair."""
+    key = ["icao24", "callsign", "day"]
+    flights = truth.groupBy(*key, "adep", "ades").agg(F.count(F.lit(1)).alias("_rows"))
+    rows = flights.join(tracks.groupBy(*key).agg(F.count(F.lit(1)).alias("_tracks")), key)
+    same = Window.partitionBy(*key)
+    rows = rows.withColumns({"_met": F.col("_rows") * F.col("_tracks"), "_flights": F.sum("_rows").over(same), "_n": F.row_number().over(same.orderBy("adep", "ades"))})
+    n = lambda c, of=1: F.coalesce(F.sum(F.when(c, of).otherwise(0)), F.lit(0))
+    once = F.col("_n") == 1
+    return rows.agg(
+        F.count(F.lit(1)).alias("matched_flights"),
+        n(F.col("_met") > 1).alias("fragmented_flights"),
+        F.percentile("_met", 0.99).alias("tracks_per_flight_p99"),
+        F.max("_met").alias("tracks_per_flight_max"),
+        n(once, F.col("_tracks")).alias("matched_tracks"),
+        n(once & (F.col("_flights") > 1), F.col("_tracks")).alias("merged_tracks"),
+        F.max("_flights").alias("flights_per_track_max"),
+    )

@@ -419,3 +419,26 @@ def fragmentation(spark, sf):
     return score.fragmentation(score.track_summary(sv(spark, sf)))
 
 
+
+
+@query(
+    "track_outliers",
+    f"""SELECT CAST(count(*) FILTER (WHERE n = 1) AS BIGINT) AS single_row, count(*) FILTER (WHERE hours < 5::DOUBLE / 60) AS under_5min, count(*) FILTER (WHERE hours > 18) AS over_18h, round(max(hours), 6) AS hours_max,
+    count(*) FILTER (WHERE {epoch_sql("first_seen")} - (SELECT epoch(CAST(min(first_seen) AS DATE)) FROM ts) < 300) AS starts_at_edge,
+    count(*) FILTER (WHERE (SELECT epoch(CAST(max(last_seen) AS DATE)) FROM ts) + 86399 - {epoch_sql("last_seen")} < 300) AS ends_at_edge FROM ts""",
+    "sm d ts",
+)
+def track_outliers(spark, sf):
+    return score.track_outliers(score.track_summary(sv(spark, sf)))
+
+
+@query(
+    "merging",
+    """%j AS (SELECT truth.*, track_id FROM truth JOIN idt ON truth.icao24 = idt.icao24 AND truth.callsign = idt.callsign AND truth.day = idt.day),
+    f AS (SELECT count(*) AS met FROM j GROUP BY icao24, callsign, day, adep, ades), k AS (SELECT count(*) AS met FROM j GROUP BY track_id)
+    SELECT (SELECT count(*) FROM f) AS matched_flights, (SELECT count(*) FROM f WHERE met > 1) AS fragmented_flights, (SELECT quantile_cont(met::DOUBLE, 0.99) FROM f) AS tracks_per_flight_p99, (SELECT max(met) FROM f) AS tracks_per_flight_max,
+    (SELECT count(*) FROM k) AS matched_tracks, (SELECT count(*) FROM k WHERE met > 1) AS merged_tracks, (SELECT max(met) FROM k) AS flights_per_track_max""",
+    "sm d apt truth al",
+)
+def merging(spark, sf):
+    return score.merging(views.truth(spark, sf), score.identities(sv(spark, sf)))

@@ -210,3 +210,20 @@ def test_outages_and_labels(spark):
 
 def test_box_is_a_parameter():
     assert Box().west < Box().east
+
+
+def test_merging(spark):
+    truth = spark.createDataFrame([("a", "X", "d", "P", "Q"), ("a", "X", "d", "Q", None), ("b", "Y", "d", "P", "Q"), ("c", None, "d", "P", "Q"), ("e", "Z", "d", "P", "Q")], "icao24 string, callsign string, day string, adep string, ades string")
+    tracks = spark.createDataFrame([("1", "a", "X", "d"), ("2", "b", "Y", "d"), ("3", "b", "Y", "d"), ("4", "b", "Y", "other"), ("5", "c", None, "d")], "track_id string, icao24 string, callsign string, day string")
+    r = score.merging(truth, tracks).first()
+    assert (r.matched_flights, r.fragmented_flights, r.tracks_per_flight_max) == (3, 1, 2)
+    assert (r.matched_tracks, r.merged_tracks, r.flights_per_track_max) == (3, 1, 2)
+    none = score.merging(truth, tracks.limit(0)).first()
+    assert (none.matched_flights, none.merged_tracks, none.flights_per_track_max) == (0, 0, None)
+
+
+def test_outlying_tracks(spark):
+    rows = [("1", 1, T0, T0, 0.0), ("2", 9, T0, T0 + timedelta(minutes=4), 4 / 60), ("3", 9, T0, T0 + timedelta(hours=19), 19.0), ("4", 5, T0 - timedelta(hours=11, minutes=58), T0 + timedelta(hours=6), 18.0)]
+    df = spark.createDataFrame(rows, "track_id string, n long, first_seen timestamp, last_seen timestamp, hours double")
+    r = score.track_outliers(df, "2024-06-01", "2024-06-02").first()
+    assert tuple(r) == (1, 2, 1, 19.0, 1, 0)
