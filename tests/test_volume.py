@@ -34,7 +34,7 @@ def samples(plan: str) -> int:
     return sum("Generate explode" in x and bool(re.search(r"\[k#\d+L?\]", x)) for x in plan.splitlines())
 
 
-@pytest.mark.parametrize(("name", "times"), [("events_all", 2), ("measurements", 2), ("cascade_attr", 2)])
+@pytest.mark.parametrize(("name", "times"), [("events_all", 2), ("measurements", 2), ("cascade_attr", 2), ("method_m6", 1)])
 def test_samples_are_not_moved(spark, name, times):
     plan = plan_of(spark, name)
     assert not moved(plan)
